@@ -129,6 +129,7 @@ def match_requests(
         located = located.withColumn(f"_eq_{request_column}", F.col(user_column))
         stores = stores.withColumn(f"_eq_{request_column}", F.col(request_column))
     keys = ["_cell", *[f"_eq_{c}" for c in equal]]
+    located = located.drop(*requests.columns)
     if small_requests is None:
         small_requests = few_requests(requests)
     if small_requests:

@@ -159,14 +159,8 @@ def slices_of(
 
 def _slice_session(gap_s: int) -> Column:
     """Session window of a slice: from its first record to a gap past its last."""
-    reach = F.make_dt_interval(
-        F.lit(0),
-        F.lit(0),
-        F.lit(0),
-        (epoch_micros(F.col("_to")) - epoch_micros(F.col("_from"))).cast("decimal(18,0)")
-        / 1_000_000
-        + F.lit(gap_s),
-    )
+    micros = epoch_micros(F.col("_to")) - epoch_micros(F.col("_from"))
+    reach = F.make_interval(secs=micros.cast("decimal(18,0)") / 1_000_000 + F.lit(gap_s))
     return F.session_window(F.col("_from"), reach)
 
 

@@ -76,7 +76,7 @@ def topic_records(events: DataFrame) -> DataFrame:
     is_message = F.col("event_type").isin(*MESSAGE_TYPES)
     return events.select(
         F.col("event_id").alias("seq"),
-        F.col("user_id").alias("trade_id"),
+        F.col("user_id").cast("string").alias("trade_id"),
         F.when(is_message, F.concat(F.lit("m"), "event_id")).alias("msg_id"),
         F.when(~is_message, F.expr("cast(event_id % 10 as string)")).alias("status_code"),
         F.col("ts").cast("timestamp").alias("create_time"),
@@ -97,7 +97,7 @@ def topic_lines(records: DataFrame) -> DataFrame:
         to_text(
             F.struct(
                 F.col("msg_id").alias("msgId"),
-                F.col("trade_id").cast("string").alias("tradeId"),
+                F.col("trade_id").alias("tradeId"),
                 F.col("status_code").alias("statusCode"),
                 F.date_format("create_time", SECONDS).alias("createTime"),
             )

@@ -20,13 +20,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, watermark_policy: str = "min") -> SparkSession:
     """A sibling session with the settings keyed state needs; the caller's
-    session keeps its own."""
+    session keeps its own. ``watermark_policy`` says which of several inputs'
+    watermarks counts."""
     sibling = use_utc(spark.newSession())
     for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"):
         sibling.conf.set(key, spark.conf.get(key))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    sibling.conf.set("spark.sql.streaming.multipleWatermarkPolicy", watermark_policy)
     return sibling
 
 

@@ -13,11 +13,6 @@ RESTARTS = 3
 RESTART_DELAY_S = 10.0
 
 
-def late_after(df: DataFrame, delay: str, time_column: str = "create_time") -> DataFrame:
-    """Records older than the latest time less the delay may be dropped."""
-    return df.withWatermark(time_column, delay)
-
-
 def file_writer(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Parquet files; each record counts once, also over restarts."""
     return (
@@ -66,6 +61,8 @@ def run_until_idle(writer: DataStreamWriter, timeout_s: float = 60.0) -> Streami
             time.sleep(0.2)
     finally:
         query.stop()
+    if query.exception() is not None:
+        raise query.exception()
     return query
 
 
@@ -98,3 +95,13 @@ def run_resumable(
             time.sleep(delay_s)
     raise AssertionError("unreachable")
 
+
+
+def write_result(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for complete mode: the latest result replaces
+    the one before."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return write

@@ -1,4 +1,9 @@
-"""Keyed state that windows and joins cannot express."""
+"""Keyed state that windows and joins cannot express.
+
+A key's rows of one micro-batch are put in order before they are handled, so the
+source's per-trigger limit bounds what a task holds. State is read and written
+once per key and micro-batch, or once per new entry.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from tidematch.functions.jsontext import MESSAGE_INCOMPLETE, error_envelope
 from tidematch.functions.timetext import epoch_micros
-from tidematch.operators.windows import KEY, pair_text
+from tidematch.operators.windows import KEY
 
 
 def _text(value) -> str:
@@ -35,12 +39,17 @@ class MessageMemory(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         frame = pd.concat(list(rows)).sort_values(["at_us", "seq"])
+        live = self.memory.containsKey(("msgId",))
+        held = self.memory.getValue(("msgId",))[0] if live else None
+        written = False
         paired = []
         for msg_id, status in zip(frame["msg_id"], frame["status_code"]):
             if _text(msg_id):
-                self.memory.updateValue(("msgId",), (msg_id,))
-            elif self.memory.containsKey(("msgId",)):
-                paired.append((key[0], self.memory.getValue(("msgId",))[0], status))
+                held, written = msg_id, True
+            elif held is not None:
+                paired.append((key[0], held, status))
+        if written:
+            self.memory.updateValue(("msgId",), (held,))
         yield pd.DataFrame(paired, columns=["trade_id", "msg_id", "status_code"])
 
     def close(self) -> None:
@@ -96,75 +105,24 @@ class EntryHistory(StatefulProcessor):
         now = pd.Timestamp.now()
         for frame in rows:
             frame = frame.sort_values("seq")
-            sizes = []
-            for msg_id, status in zip(frame["msg_id"], frame["status_code"]):
-                entry = (_text(msg_id) + _text(status),)
-                if not self.entries.containsKey(entry):
-                    self.entries.updateValue(entry, (_text(msg_id),))
-                    size += 1
-                sizes.append(size)
-            yield frame.assign(entries=sizes, update_time=now)[
+            entry = frame["msg_id"].map(_text) + frame["status_code"].map(_text)
+            fresh = ~entry.duplicated()
+            for row in entry.index[fresh]:
+                name = (entry[row],)
+                if self.entries.containsKey(name):
+                    fresh[row] = False
+                else:
+                    self.entries.updateValue(name, (_text(frame["msg_id"][row]),))
+            yield frame.assign(entries=size + fresh.cumsum(), update_time=now)[
                 ["msg_id", "status_code", "seq", "entries", "update_time"]
             ]
+            size += int(fresh.sum())
         self.size.update((size,))
 
     def close(self) -> None:
         pass
 
 
-class PunctuatedWindows(StatefulProcessor):
-    """The last message and last status of one key and tumbling window, given out
-    when the watermark reaches the window's end. Keyed by (trade_id, window end),
-    so the state of a key is spread over its windows."""
-
-    OUTPUT = (
-        "trade_id string, window_end_us bigint, records bigint, "
-        "msg_id string, status_code string"
-    )
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.window = handle.getValueState(
-            "window",
-            "records bigint, message_at bigint, message_no bigint, msg_id string, "
-            "status_at bigint, status_no bigint, status_code string",
-        )
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        end_ms = -(-int(key[1]) // 1000)
-        if timerValues.getCurrentWatermarkInMs() < end_ms:
-            held = self.window.get() if self.window.exists() else (0, -1, -1, None, -1, -1, None)
-            records, message, status = held[0], tuple(held[1:4]), tuple(held[4:7])
-            for frame in rows:
-                records += len(frame)
-                is_message = frame["msg_id"].map(_text) != ""
-                is_status = ~is_message & (frame["status_code"].map(_text) != "")
-                message = self._later(message, frame[is_message], "msg_id")
-                status = self._later(status, frame[is_status], "status_code")
-            if not self.window.exists():
-                self.handle.registerTimer(end_ms)
-            self.window.update((records, *message, *status))
-        yield pd.DataFrame()
-
-    @staticmethod
-    def _later(held: tuple, frame: pd.DataFrame, column: str) -> tuple:
-        if frame.empty:
-            return held
-        last = frame.sort_values(["at_us", "seq"]).iloc[-1]
-        return max(held, (int(last["at_us"]), int(last["seq"]), last[column]), key=lambda e: e[:2])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.window.get()
-        self.window.clear()
-        yield pd.DataFrame(
-            [(key[0], key[1], held[0], held[3], held[6])],
-            columns=["trade_id", "window_end_us", "records", "msg_id", "status_code"],
-        )
-
-    def close(self) -> None:
-        pass
-
-
 class SumChanges(StatefulProcessor):
     """A key's sum and the retract and add rows of each change to it."""
 
@@ -231,37 +189,3 @@ def sum_changes(records: DataFrame) -> DataFrame:
     """Changelog of ``sum(score)`` per ``name``; ``seq`` orders a micro-batch."""
     rows = records.select("name", F.col("score").cast("bigint").alias("score"), "seq")
     return _run(rows.groupBy("name"), SumChanges(), "None")
-
-
-def punctuated_windows(
-    records: DataFrame, length_s: int, key: str = KEY, time: str = "create_time"
-) -> DataFrame:
-    """Tumbling windows under a watermark that only records without a message id
-    move, each to its own time. The watermark column is null on messages, which
-    therefore never count as late by themselves."""
-    micros = epoch_micros(F.col(time))
-    length = length_s * 1_000_000
-    rows = records.select(
-        F.col(key).alias("trade_id"),
-        "msg_id",
-        "status_code",
-        "seq",
-        micros.alias("at_us"),
-        ((F.floor(micros / length) + 1) * length).alias("window_end_us"),
-        F.when(F.col("msg_id").isNull(), F.col(time)).alias("punctuation"),
-    ).withWatermark("punctuation", "0 seconds")
-    windows = _run(
-        rows.groupBy("trade_id", "window_end_us"), PunctuatedWindows(), "EventTime"
-    )
-    complete = F.col("msg_id").isNotNull() & F.col("status_code").isNotNull()
-    return windows.select(
-        "trade_id",
-        F.timestamp_micros(F.col("window_end_us") - length).alias("window_start"),
-        F.timestamp_micros("window_end_us").alias("window_end"),
-        "records",
-        F.when(complete, F.col("msg_id")).alias("msg_id"),
-        F.when(complete, F.col("status_code")).alias("status_code"),
-        F.when(complete, pair_text(F.col("msg_id"), F.col("status_code")))
-        .otherwise(error_envelope(MESSAGE_INCOMPLETE))
-        .alias("value"),
-    )
