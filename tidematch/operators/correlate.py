@@ -11,6 +11,7 @@ from tidematch.functions.jsontext import not_empty
 from tidematch.functions.timetext import epoch_micros
 from tidematch.operators.joins import salted_join
 from tidematch.operators.running import BLOCK, running_sum, with_carry
+from tidematch.operators.sizes import cut_lineage
 from tidematch.operators.windows import KEY, slice_number, slices_of
 
 
@@ -49,12 +50,13 @@ def session_join(
 ) -> DataFrame:
     """Every message with every status of the same key and session. Sessions are
     formed over the records of both inputs together; the status is taken from
-    the second input."""
+    the second input. Records with their sessions are stored once, for counting
+    heavy sessions and for both sides of the join."""
     columns = [key, time, "msg_id", "status_code"]
     tagged = messages.select(*columns, F.lit(True).alias("_is_message")).unionByName(
         statuses.select(*columns, F.lit(False).alias("_is_message"))
     )
-    placed = with_session(tagged, gap_s, key, time)
+    placed = cut_lineage(with_session(tagged, gap_s, key, time))
     keys = [key, "session_start", "session_end"]
     lefts = placed.where("_is_message").select(
         *keys, "msg_id", F.col(time).alias("message_time")
