@@ -16,6 +16,7 @@ from tidematch.operators import (
     shape,
     windows,
 )
+from tidematch.operators.running import heavy_keys
 
 PEOPLE = [("Fred", 35), ("Wilma", 35), ("Pebbles", 2)]
 
@@ -164,7 +165,7 @@ def test_changelog_replays_to_the_sum(spark, block):
         "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else cast(id % 5 as string) end as name",
         "id * 31 % 11 - 5 as score", "id as seq",
     )
-    changes = changelog.sum_changelog(scores, ["name"], "score", "seq", block=block)
+    changes = changelog.sum_changelog(scores, ["name"], "score", "seq", block=block, min_rows=50)
     final = changelog.net_result(changes, ["name"])
     assert Counter(map(tuple, final.collect())) == Counter(
         map(tuple, aggregate.sum_by(scores, ["name"], "score").collect())
@@ -255,7 +256,7 @@ def test_correlation_within_a_time_to_live(spark, block_s):
          (5, "t", "m2", None, 12.0), (6, "t", "m3", None, 13.0), (7, "t", None, "3", 22.9),
          (8, "u", None, "4", 13.0)],
     )
-    got = correlate.correlate_within(records, 10, block_s=block_s)
+    got = correlate.correlate_within(records, 10, block_s=block_s, min_rows=2)
     assert rows(got.select("seq", "msg_id", "status_code")) == [(3, "m1", "1"), (7, "m3", "3")]
 
 
@@ -265,5 +266,11 @@ def test_state_history_counts_distinct_entries(spark):
         "msg_id string, status_code string, seq long",
     )
     for block in (1, 100):
-        got = correlate.state_history(records, block=block).orderBy("seq")
+        got = correlate.state_history(records, block=block, min_rows=1).orderBy("seq")
         assert [r["entries"] for r in got.collect()] == [1, 1, 2, 1, 2]
+
+
+def test_heavy_keys_include_null(spark):
+    df = spark.range(100).selectExpr("if(id < 60, null, id) as k")
+    assert [tuple(r) for r in heavy_keys(df, ["k"], min_rows=10).collect()] == [(None,)]
+    assert heavy_keys(df, ["k"], min_rows=60) is None

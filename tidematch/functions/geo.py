@@ -13,7 +13,7 @@ EARTH_RADIUS_KM = 6378.138  # fixed value
 # Cells are cubes of edge 2**-level on the unit sphere. 17 is the finest level
 # used (about 49 m); three indices of 19 bits and the level fit one long.
 FINEST_LEVEL = 17
-COARSEST_LEVEL = -1
+COARSEST_LEVEL = -2
 AXES = ("x", "y", "z")
 _BITS = 19
 _OFFSET = 1 << (_BITS - 1)
@@ -61,11 +61,12 @@ def squared_distance(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return reduce(add, [(a[axis] - b[axis]) * (a[axis] - b[axis]) for axis in AXES])
 
 
-def cell_level(chord: Column) -> Column:
-    """Finest level whose edge is at least the chord, so that a reach spans at
-    most three cells per axis. At most 19 distinct values exist."""
-    level = F.floor(-F.log2(chord)).cast("int")
-    return F.greatest(F.least(level, F.lit(FINEST_LEVEL)), F.lit(COARSEST_LEVEL))
+def cell_level(chord: Column, step: int = 1) -> Column:
+    """Finest level, of every ``step``-th, whose edge is at least the chord, so
+    that a reach spans at most three cells per axis. At most 20 / ``step``
+    distinct values exist."""
+    level = F.least(F.floor(-F.log2(chord)).cast("int"), F.lit(FINEST_LEVEL))
+    return F.greatest((F.floor(level / step) * step).cast("int"), F.lit(COARSEST_LEVEL))
 
 
 def axis_index(value: Column, level: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidematch.operators.joins import MIN_ROWS
 from tidematch.operators.running import BLOCK, running_sum
 
 
@@ -17,10 +18,12 @@ def sum_changelog(
     order: str,
     alias: str = "total",
     block: int = BLOCK,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Rows ``(is_add, keys, alias, order)``: each record that changes its key's
     sum retracts the old one and adds the new one; the first only adds."""
-    sums = running_sum(df.select(*keys, value, order), keys, value, order, alias, block)
+    rows = df.select(*keys, value, order)
+    sums = running_sum(rows, keys, value, order, alias, block, min_rows)
     old, new = F.col(f"{alias}_before"), F.col(alias)
     retract = F.struct(F.lit(False).alias("is_add"), old.alias(alias))
     add = F.struct(F.lit(True).alias("is_add"), new.alias(alias))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidematch.functions.jsontext import not_empty
 from tidematch.functions.timetext import epoch_micros
-from tidematch.operators.joins import salted_join
+from tidematch.operators.joins import MIN_ROWS, salted_join
 from tidematch.operators.running import BLOCK, running_sum, with_carry
 from tidematch.operators.sizes import cut_lineage
 from tidematch.operators.windows import KEY, slice_number, slices_of
@@ -74,14 +74,15 @@ def correlate_within(
     time: str = "create_time",
     sequence: str = "seq",
     block_s: int | None = None,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Each status with the key's latest earlier message, if that message is
     younger than the time to live; other statuses are dropped.
 
     A message arriving later replaces the one before and starts its life anew,
-    as a state that is refreshed on write. Time is cut into blocks of ``block_s``
-    (the time to live unless given); the latest message of earlier blocks enters
-    each block as one row.
+    as a state that is refreshed on write. The time of keys with more than
+    ``min_rows`` records is cut into blocks of ``block_s`` (the time to live
+    unless given).
     """
     micros = epoch_micros(F.col(time))
     length = (block_s or ttl_s) * 1_000_000
@@ -95,7 +96,12 @@ def correlate_within(
         F.when(not_empty(F.col("msg_id")), latest).alias("_message"),
     )
     rows = with_carry(
-        entries, [key], F.floor(F.col("_at") / length), {"_message": F.max("_message")}, F.max
+        entries,
+        [key],
+        F.floor(F.col("_at") / length),
+        {"_message": F.max("_message")},
+        F.max,
+        min_rows,
     )
     inside = (
         Window.partitionBy(key, "_block")
@@ -116,6 +122,7 @@ def state_history(
     entry: Sequence[str] = ("msg_id", "status_code"),
     order: str = "seq",
     block: int = BLOCK,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Each record re-emitted with the number of distinct entries its key's state
     holds after it. ``order`` is an integer, unique per record."""
@@ -126,6 +133,6 @@ def state_history(
         order,
         "left",
     ).withColumn("_new", F.coalesce("_new", F.lit(0).cast("long")))
-    return running_sum(marked, keys, "_new", order, "entries", block).drop(
+    return running_sum(marked, keys, "_new", order, "entries", block, min_rows).drop(
         "_new", "entries_before", "_first"
     )

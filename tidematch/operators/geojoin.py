@@ -13,13 +13,16 @@ from tidematch.operators.sizes import BROADCAST_BYTES, BROADCAST_ROWS, fits_broa
 
 # A reach spans at most three cells on each of three axes.
 CELLS_PER_REQUEST = 27
+# Users are repeated for each level in use. Where they are shuffled, every second
+# level is left out: fewer copies to move for more candidates to test.
+SHUFFLED_LEVEL_STEP = 2
 
 
 def _columns(prefix: str) -> dict[str, Column]:
     return {axis: F.col(f"{prefix}{axis}") for axis in geo.AXES}
 
 
-def request_cells(requests: DataFrame) -> DataFrame:
+def request_cells(requests: DataFrame, step: int = 1) -> DataFrame:
     """One row per request and cell its range can touch, as ``_cell``.
     Requests that can match nobody have no row."""
     placed = requests.select(
@@ -31,7 +34,7 @@ def request_cells(requests: DataFrame) -> DataFrame:
     vector = geo.unit_vector(F.col("_store_lat"), F.col("_store_lng"))
     cells = placed.select(
         "*",
-        geo.cell_level(F.col("_chord")).alias("_level"),
+        geo.cell_level(F.col("_chord"), step).alias("_level"),
         *[vector[axis].alias(f"_s{axis}") for axis in geo.AXES],
     )
     level, store, chord = F.col("_level"), _columns("_s"), F.col("_chord")
@@ -56,13 +59,13 @@ def few_requests(requests: DataFrame) -> bool:
     )
 
 
-def request_levels(requests: DataFrame) -> Column:
-    """The cell levels in use, as a scalar subquery of at most 19 values."""
+def request_levels(requests: DataFrame, step: int = 1) -> Column:
+    """The cell levels in use, as a scalar subquery of at most 20 values."""
     chord = geo.range_chord(F.col("store_range"))
     return (
         requests.select(chord.alias("c"))
         .where("c IS NOT NULL")
-        .agg(F.collect_set(geo.cell_level(F.col("c"))))
+        .agg(F.collect_set(geo.cell_level(F.col("c"), step)))
         .scalar()
     )
 
@@ -123,15 +126,16 @@ def match_requests(
     with hot cells split. ``small_requests`` overrides the check.
     """
     equal = dict(equal or {})
-    stores = request_cells(requests)
-    located = user_cells(users, request_levels(requests))
+    if small_requests is None:
+        small_requests = few_requests(requests)
+    step = 1 if small_requests else SHUFFLED_LEVEL_STEP
+    stores = request_cells(requests, step)
+    located = user_cells(users, request_levels(requests, step))
     for request_column, user_column in equal.items():
         located = located.withColumn(f"_eq_{request_column}", F.col(user_column))
         stores = stores.withColumn(f"_eq_{request_column}", F.col(request_column))
     keys = ["_cell", *[f"_eq_{c}" for c in equal]]
     located = located.drop(*requests.columns)
-    if small_requests is None:
-        small_requests = few_requests(requests)
     if small_requests:
         candidates = located.join(F.broadcast(stores), keys)
     else:

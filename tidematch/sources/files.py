@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FIELD_SEPARATOR = "\x01"
+FILES_PER_TRIGGER = 256
 
 
 def from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
@@ -46,14 +47,14 @@ def spread_scan(df: DataFrame) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, name: str, files_per_trigger: int = FILES_PER_TRIGGER
 ) -> DataFrame:
     """Stream the Parquet table ``folder/name.parquet``, a file or a folder of
     files. ``files_per_trigger`` bounds what one micro-batch may hold."""
     batch = spark.read.parquet(f"{folder}/{name}.parquet")
-    reader = spark.readStream.schema(batch.schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(batch.schema).option(
+        "maxFilesPerTrigger", files_per_trigger
+    )
     if batch.inputFiles()[0].endswith(f"/{name}.parquet"):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(f"{folder}/{name}.parquet")

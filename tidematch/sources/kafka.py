@@ -20,13 +20,16 @@ TOPIC_RESULTS = "flink-demo-topic-3"
 TOPIC_COUPON_INPUT = "coupon-input"
 TOPIC_COUPON_OUTPUT = "coupon-output"
 
+# Bounds what one micro-batch may bring.
+OFFSETS_PER_TRIGGER = 50_000_000
+
 
 def source_options(
     servers: str,
     topics: str | Sequence[str],
     start: str = "latest",
     start_timestamp_ms: int | None = None,
-    max_per_trigger: int | None = None,
+    max_per_trigger: int = OFFSETS_PER_TRIGGER,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Reader options. ``start`` is 'earliest', 'latest' or per-partition JSON
@@ -34,13 +37,12 @@ def source_options(
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),
+        "maxOffsetsPerTrigger": str(max_per_trigger),
     }
     if start_timestamp_ms is None:
         options["startingOffsets"] = start
     else:
         options["startingTimestamp"] = str(start_timestamp_ms)
-    if max_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if min_partitions:
         options["minPartitions"] = str(min_partitions)
     return options
