@@ -41,6 +41,10 @@ def test_period_between(spark, start, end, parts):
     assert tuple(one(spark, timetext.period_between(day(start), day(end)))[0]) == parts
 
 
+def test_period_until_today(spark):
+    assert tuple(one(spark, timetext.period_until_today(F.current_date()))[0]) == (0, 0, 0)
+
+
 def test_time_text(spark):
     time = timetext.parse_time(F.lit("2021-06-01 14:07:02.100"), timetext.MILLIS)
     got = one(

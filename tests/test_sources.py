@@ -102,6 +102,17 @@ def test_empty_table_has_no_latest_partition(spark):
     assert partitions.LatestPartition("no_users")(spark).count() == 0
 
 
+def test_properties_say_which_partitions(spark, users_table):
+    latest = partitions.table_reader(spark, users_table)
+    assert isinstance(latest, partitions.LatestPartition) and latest(spark).count() == 7
+    whole = partitions.table_reader(spark, users_table, {partitions.INCLUDE: "all"})
+    assert whole(spark).count() == spark.table(users_table).count()
+    slow = partitions.table_reader(
+        spark, users_table, {partitions.INTERVAL: "12 h", partitions.ORDER: "create-time"}
+    )
+    assert (slow.interval_s, slow.order) == (43200, "create-time")
+
+
 def test_insert_and_truncate(spark):
     tables.create_table(spark, "people", schemas.PEOPLE, partition=None)
     tables.insert_rows(files.from_rows(spark, [(1, "a", "b")], schemas.PEOPLE), "people")

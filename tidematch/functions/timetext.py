@@ -72,6 +72,10 @@ def period_between(start: Column, end: Column) -> Column:
     )
 
 
+def period_until_today(start: Column) -> Column:
+    return period_between(start, F.current_date())
+
+
 def window_label(start: Column, end: Column) -> Column:
     return F.format_string(
         "start: %s end:%s", format_time(start), format_time(end)

@@ -12,7 +12,7 @@ from tidematch.functions.timetext import epoch_micros
 from tidematch.operators.joins import MIN_ROWS, salted_join
 from tidematch.operators.running import BLOCK, running_sum, with_carry
 from tidematch.operators.sizes import cut_lineage
-from tidematch.operators.windows import KEY, slice_number, slices_of
+from tidematch.operators.windows import KEY, slice_start, slices_of
 
 
 def with_session(
@@ -35,7 +35,7 @@ def with_session(
         .select(key, "_slice", "session_start", "session_end")
     )
     return (
-        df.withColumn("_slice", slice_number(time, gap_s))
+        df.withColumn("_slice", slice_start(epoch_micros(F.col(time)), gap_s))
         .join(slices, [key, "_slice"])
         .drop("_slice")
     )
@@ -85,7 +85,6 @@ def correlate_within(
     unless given).
     """
     micros = epoch_micros(F.col(time))
-    length = (block_s or ttl_s) * 1_000_000
     latest = F.struct(micros.alias("at"), F.col(sequence).alias("no"), F.col("msg_id"))
     entries = records.select(
         key,
@@ -98,7 +97,7 @@ def correlate_within(
     rows = with_carry(
         entries,
         [key],
-        F.floor(F.col("_at") / length),
+        slice_start(F.col("_at"), block_s or ttl_s),
         {"_message": F.max("_message")},
         F.max,
         min_rows,

@@ -96,7 +96,7 @@ def running_sum(
     rows = with_carry(
         counted,
         keys,
-        F.floor(F.col(order) / block),
+        F.col(order) - F.pmod(F.col(order), F.lit(block)),
         {"_sum": F.sum("_sum"), "_rows": F.sum("_rows")},
         F.sum,
         min_rows,

@@ -137,8 +137,9 @@ def window_members(df: DataFrame, length: str, time: str = "create_time") -> Dat
     return df.withColumn("bounds", window_label(window["start"], window["end"]))
 
 
-def slice_number(time: str, gap_s: int) -> Column:
-    return F.floor(epoch_micros(F.col(time)) / (gap_s * 1_000_000))
+def slice_start(micros: Column, length_s: int) -> Column:
+    """Start of the slice of time a moment lies in, in microseconds."""
+    return micros - F.pmod(micros, F.lit(length_s * 1_000_000))
 
 
 def slices_of(
@@ -147,7 +148,7 @@ def slices_of(
     """One row per key and gap-long slice of time. Records of one slice are less
     than a gap apart, so they always share a session."""
     return (
-        df.withColumn("_slice", slice_number(time, gap_s))
+        df.withColumn("_slice", slice_start(epoch_micros(F.col(time)), gap_s))
         .groupBy(*keys, "_slice")
         .agg(
             F.min(time).alias("_from"),

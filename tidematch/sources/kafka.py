@@ -14,9 +14,6 @@ from tidematch.functions.jsontext import BAD, probe
 from tidematch.schemas import TOPIC_FIELDS, TOPIC_JSON, TOPIC_TIME_OPTIONS
 
 # Topic names are fixed values.
-TOPIC_MESSAGES = "flink-demo-topic-1"
-TOPIC_STATUSES = "flink-demo-topic-2"
-TOPIC_RESULTS = "flink-demo-topic-3"
 TOPIC_COUPON_INPUT = "coupon-input"
 TOPIC_COUPON_OUTPUT = "coupon-output"
 
