@@ -207,6 +207,23 @@ def test_short_lived_state_is_forgotten(spark, feed):
     assert spark.read.schema(df.schema).parquet(f"{feed.folder}/out").count() == 0
 
 
+@pytest.mark.parametrize("session", [False, True])
+def test_processing_time_windows_close_by_themselves(spark, feed, session):
+    feed.add([(1, "t", "m1", None, 0.0), (2, "t", None, "7", 1.0), (3, "t", None, "8", 2.0),
+              (4, "u", "m2", None, 0.0), (5, "v", None, "9", 0.0)])
+    df = keyed.processing_windows(feed.stream(), 2000, session)
+    writer = jobs.file_writer(df, f"{feed.folder}/out", f"{feed.folder}/checkpoint")
+    jobs.run_until_idle(writer, idle_s=6)
+    found = spark.read.schema(df.schema).parquet(f"{feed.folder}/out")
+    by_count = windows.pair_by_count(found)
+    assert sorted((r["trade_id"], r["msg_id"], r["status_code"]) for r in by_count.collect()) == [
+        ("t", "m1", "7"), ("u", None, None)
+    ]
+    by_last = windows.pair_by_last(found).where("msg_id IS NOT NULL").collect()
+    assert [(r["msg_id"], r["status_code"]) for r in by_last] == [("m1", "8")]
+    assert {r["records"] for r in found.collect()} == {3, 1}
+
+
 def test_stream_sees_a_partition_added_between_batches(spark, tmp_path):
     users = f"{tmp_path}/users"
     located = fixtures.user_location(spark)

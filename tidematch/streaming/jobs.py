@@ -48,17 +48,26 @@ def run_available(writer: DataStreamWriter, timeout_s: int = 600) -> StreamingQu
     return query
 
 
-def run_until_idle(writer: DataStreamWriter, timeout_s: float = 60.0) -> StreamingQuery:
-    """Process what is there and stop, for queries on processing-time state that
-    never end by themselves."""
+def run_until_idle(
+    writer: DataStreamWriter, idle_s: float = 0.0, timeout_s: float = 90.0
+) -> StreamingQuery:
+    """Process what is there and stop after three batches in a row, and at least
+    ``idle_s``, without input. For queries on processing time, which never end by
+    themselves; a resumed one may first repeat an empty batch."""
     query = writer.trigger(processingTime="0 seconds").start()
-    deadline = time.monotonic() + timeout_s
+    started = last_input = time.monotonic()
+    empty: set[int] = set()
     try:
-        while time.monotonic() < deadline and query.isActive:
+        while query.isActive and time.monotonic() - started < timeout_s:
             progress = query.lastProgress
-            if progress is not None and progress.numInputRows == 0:
+            if progress is not None and progress.numInputRows:
+                last_input = time.monotonic()
+                empty.clear()
+            elif progress is not None:
+                empty.add(progress.batchId)
+            if len(empty) > 2 and time.monotonic() - last_input >= idle_s:
                 break
-            time.sleep(0.2)
+            time.sleep(0.1)
     finally:
         query.stop()
     if query.exception() is not None:

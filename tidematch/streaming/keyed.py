@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -123,6 +123,72 @@ class EntryHistory(StatefulProcessor):
         pass
 
 
+class ProcessingWindows(StatefulProcessor):
+    """One key's window in processing time, given out by a timer even when no
+    more data comes. A tumbling window ends at the next multiple of the length; a
+    session ends one length after its last records."""
+
+    OUTPUT = (
+        "trade_id string, start_ms bigint, end_ms bigint, records bigint, first_message string, "
+        "first_status string, last_message string, last_status string"
+    )
+    EMPTY = (0, None, None, None, None)
+
+    def __init__(self, length_ms: int, session: bool) -> None:
+        self.length_ms, self.session = length_ms, session
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.window = handle.getValueState("window", self.OUTPUT.split(", ", 1)[1])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs()
+        start, end = now, now + self.length_ms
+        if not self.session:
+            start = now - now % self.length_ms
+            end = start + self.length_ms
+        held = self.EMPTY
+        if self.window.exists():
+            old_start, old_end, *old = self.window.get()
+            self.handle.deleteTimer(old_end)
+            if old_end <= now:
+                yield self._row(key, old_start, old_end, old)
+            else:
+                start, held = old_start, old
+        self.window.update((start, end, *self._extended(held, pd.concat(list(rows)))))
+        self.handle.registerTimer(end)
+
+    @staticmethod
+    def _extended(held, frame: pd.DataFrame) -> tuple:
+        count, first_message, first_status, last_message, last_status = held
+        frame = frame.sort_values(["at_us", "seq"])
+        is_message = frame["msg_id"].map(_text) != ""
+        messages = frame["msg_id"][is_message]
+        statuses = frame["status_code"][~is_message].map(_text)
+        filled = statuses[statuses != ""]
+        if first_message is None and len(messages):
+            first_message = messages.iloc[0]
+        if first_status is None and len(statuses):
+            first_status = statuses.iloc[0]
+        if len(messages):
+            last_message = messages.iloc[-1]
+        if len(filled):
+            last_status = filled.iloc[-1]
+        return count + len(frame), first_message, first_status, last_message, last_status
+
+    def _row(self, key, start, end, values) -> pd.DataFrame:
+        names = [field.split()[0] for field in self.OUTPUT.split(", ")]
+        return pd.DataFrame([(key[0], start, end, *values)], columns=names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        start, end, *values = self.window.get()
+        self.window.clear()
+        yield self._row(key, start, end, values)
+
+    def close(self) -> None:
+        pass
+
+
 class SumChanges(StatefulProcessor):
     """A key's sum and the retract and add rows of each change to it."""
 
@@ -180,6 +246,30 @@ def correlate_by_event_state(records: DataFrame, ttl_ms: int, key: str = KEY) ->
     return _run(_topic_rows(records, key).groupBy("trade_id"), EventMemory(ttl_ms), "None")
 
 
+def processing_windows(
+    records: DataFrame, length_ms: int, session: bool = False, key: str = KEY
+) -> DataFrame:
+    """Windows in processing time, in the form the pair functions take."""
+    grouped = _topic_rows(records, key).groupBy("trade_id")
+    found = _run(grouped, ProcessingWindows(length_ms, session), "ProcessingTime")
+
+    def entry(column: str, field: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias(field)))
+
+    return found.select(
+        "trade_id",
+        F.struct(
+            F.timestamp_millis("start_ms").alias("start"),
+            F.timestamp_millis("end_ms").alias("end"),
+        ).alias("window"),
+        "records",
+        entry("first_message", "msg_id").alias("first_message"),
+        entry("first_status", "status_code").alias("first_status"),
+        entry("last_message", "msg_id").alias("last_message"),
+        entry("last_status", "status_code").alias("last_status"),
+    )
+
+
 def entry_history(records: DataFrame) -> DataFrame:
     rows = records.select("msg_id", "status_code", "seq")
     return _run(rows.groupBy("msg_id"), EntryHistory(), "None")
