@@ -78,6 +78,25 @@ def test_users_without_identity_are_skipped(spark):
     assert [r[2] for r in frames(records) if r[0] == "02"] == ["44444", "66666"]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_odd_positions_match_nothing(spark, small):
+    odd = [("a", "NaN", "1"), ("b", "1", "Infinity"), ("c", None, "1"), ("d", "", "1"),
+           ("e", "x", "y"), ("f", "0.0", "0.0")]
+    users = spark.createDataFrame(odd, "cert_nbr string, lat string, lng string")
+    requests = fixtures.requests(
+        spark,
+        fixtures.request(0.0, 0.0, "Infinity", "R1"),
+        fixtures.request("NaN", 0.0, "500", "R2"),
+        fixtures.request("Infinity", 0.0, "Infinity", "R3"),
+        fixtures.request(0.0, 0.0, "0.5", "R4"),
+        fixtures.request(0.0, 0.0, "-1", "R5"),
+    )
+    got = geojoin.match_requests(requests, users, small_requests=small)
+    assert sorted((r["unique_req_id"], r["cert_nbr"]) for r in got.collect()) == [
+        ("R1", "f"), ("R4", "f")
+    ]
+
+
 def test_limit_is_global_and_consistent(spark):
     requests = fixtures.requests(
         spark, *[fixtures.request(15.1012, 35.1012, req=f"R{i}") for i in range(10)]

@@ -89,8 +89,8 @@ def test_haversine_is_whole_metres(spark):
 
 
 def test_bad_numbers_are_null(spark):
-    got = one(spark, *[geo.as_double(F.lit(t)) for t in ("1.5", "x", "NaN", "Infinity", "")])
-    assert got == (1.5, None, None, None, None)
+    got = one(spark, *[geo.as_double(F.lit(t)) for t in ("1.5", "x", "", "-3e2")])
+    assert got == (1.5, None, None, -300.0)
 
 
 PERSON = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.IntegerType())])

@@ -20,9 +20,9 @@ _OFFSET = 1 << (_BITS - 1)
 
 
 def as_double(text: Column) -> Column:
-    """Text to double; text that is no finite number becomes null."""
-    number = text.try_cast("double")
-    return F.when(F.abs(number) < float("inf"), number)
+    """Text to double; text that is no number becomes null. A position that is
+    null, infinite or not a number lies within no range."""
+    return text.try_cast("double")
 
 
 def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
@@ -49,12 +49,18 @@ def unit_vector(lat: Column, lng: Column) -> dict[str, Column]:
     return {"x": F.cos(phi) * F.cos(lam), "y": F.cos(phi) * F.sin(lam), "z": F.sin(phi)}
 
 
-def range_chord(store_range: Column) -> Column:
-    """Straight-line reach of a range, padded by a metre so that rounding in
-    either formula never loses a match; null when nothing can match."""
+def range_chord(store_range: Column, pad_m: int = 1) -> Column:
+    """Straight-line length of a range made ``pad_m`` metres longer or shorter,
+    which covers the rounding of both formulas: no match lies beyond the longer
+    chord, and all users within the shorter one match. Null when nothing can
+    match."""
     metres = store_range.try_cast("double")
-    angle = F.least((metres + 1) / (EARTH_RADIUS_KM * 1000), F.pi())
-    return F.when((metres > 0) & ~F.isnan(metres), 2 * F.sin(angle / 2) + 1e-9)
+    angle = F.greatest(
+        F.least((metres + pad_m) / (EARTH_RADIUS_KM * 1000), F.pi()), F.lit(0.0)
+    )
+    return F.when(
+        (metres > 0) & ~F.isnan(metres), 2 * F.sin(angle / 2) + (1e-9 if pad_m > 0 else -1e-9)
+    )
 
 
 def squared_distance(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -69,8 +75,13 @@ def cell_level(chord: Column, step: int = 1) -> Column:
     return F.greatest((F.floor(level / step) * step).cast("int"), F.lit(COARSEST_LEVEL))
 
 
-def axis_index(value: Column, level: Column) -> Column:
-    return F.floor(value * F.pow(F.lit(2.0), level)).cast("long")
+def level_scale(level: Column) -> Column:
+    """Cells per unit length."""
+    return F.pow(F.lit(2.0), level)
+
+
+def axis_index(value: Column, scale: Column) -> Column:
+    return F.floor(value * scale).cast("long")
 
 
 def cell_id(level: Column, index: dict[str, Column]) -> Column:
@@ -81,12 +92,12 @@ def cell_id(level: Column, index: dict[str, Column]) -> Column:
     return packed
 
 
-def touches_sphere(level: Column, index: dict[str, Column]) -> Column:
+def touches_sphere(scale: Column, index: dict[str, Column]) -> Column:
     """Whether a cell can hold points of the unit sphere: its centre is no farther
     from the surface than half its diagonal."""
-    edge = F.pow(F.lit(2.0), -level)
-    norm = F.sqrt(reduce(add, [F.pow((index[a] + 0.5) * edge, F.lit(2)) for a in AXES]))
-    return F.abs(norm - 1) <= edge * 0.8660254037844387 + 1e-9
+    half = F.lit(0.5)
+    norm = F.sqrt(reduce(add, [(index[a] + half) * (index[a] + half) for a in AXES])) / scale
+    return F.abs(norm - 1) <= 0.8660254037844387 / scale + 1e-9
 
 
 def face_coordinate(period: Column, day: Column, night: Column) -> Column:

@@ -30,25 +30,28 @@ def request_cells(requests: DataFrame, step: int = 1) -> DataFrame:
         geo.as_double(F.col("store_latitude")).alias("_store_lat"),
         geo.as_double(F.col("store_longitude")).alias("_store_lng"),
         geo.range_chord(F.col("store_range")).alias("_chord"),
+        geo.range_chord(F.col("store_range"), -1).alias("_inner"),
     ).dropna(subset=["_store_lat", "_store_lng", "_chord"])
     vector = geo.unit_vector(F.col("_store_lat"), F.col("_store_lng"))
+    level = geo.cell_level(F.col("_chord"), step)
     cells = placed.select(
         "*",
-        geo.cell_level(F.col("_chord"), step).alias("_level"),
+        level.alias("_level"),
+        geo.level_scale(level).alias("_scale"),
         *[vector[axis].alias(f"_s{axis}") for axis in geo.AXES],
     )
-    level, store, chord = F.col("_level"), _columns("_s"), F.col("_chord")
+    store, chord, scale = _columns("_s"), F.col("_chord"), F.col("_scale")
     for axis in geo.AXES:
         span = F.sequence(
-            geo.axis_index(store[axis] - chord, level),
-            geo.axis_index(store[axis] + chord, level),
+            geo.axis_index(store[axis] - chord, scale),
+            geo.axis_index(store[axis] + chord, scale),
         )
         cells = cells.select("*", F.explode(span).alias(f"_i{axis}"))
     index = _columns("_i")
     return (
-        cells.where(geo.touches_sphere(level, index))
-        .withColumn("_cell", geo.cell_id(level, index))
-        .drop("_level", *[f"_i{axis}" for axis in geo.AXES])
+        cells.where(geo.touches_sphere(scale, index))
+        .withColumn("_cell", geo.cell_id(F.col("_level"), index))
+        .drop("_level", "_scale", *[f"_i{axis}" for axis in geo.AXES])
     )
 
 
@@ -60,32 +63,36 @@ def few_requests(requests: DataFrame) -> bool:
 
 
 def request_levels(requests: DataFrame, step: int = 1) -> Column:
-    """The cell levels in use, as a scalar subquery of at most 20 values."""
+    """The cell levels in use and their scales, as a scalar subquery of at most 20
+    values."""
     chord = geo.range_chord(F.col("store_range"))
+    level = F.col("_user_level")
     return (
         requests.select(chord.alias("c"))
         .where("c IS NOT NULL")
-        .agg(F.collect_set(geo.cell_level(F.col("c"), step)))
+        .select(geo.cell_level(F.col("c"), step).alias("_user_level"))
+        .agg(F.collect_set(F.struct(level, geo.level_scale(level).alias("_user_scale"))))
         .scalar()
     )
 
 
 def user_cells(users: DataFrame, levels: Column) -> DataFrame:
-    """One row per user and level in use, with the user's cell at that level."""
+    """One row per user and level in use, with the user's cell at that level; the
+    cell is null, and meets no request, where the position is."""
     located = users.select(
         "*",
         geo.as_double(F.col("lat")).alias("_lat"),
         geo.as_double(F.col("lng")).alias("_lng"),
-    ).dropna(subset=["_lat", "_lng"])
+    )
     vector = geo.unit_vector(F.col("_lat"), F.col("_lng"))
     by_level = located.select(
-        "*",
-        *[vector[axis].alias(f"_u{axis}") for axis in geo.AXES],
-        F.explode(levels).alias("_user_level"),
+        "*", *[vector[axis].alias(f"_u{axis}") for axis in geo.AXES], F.inline(levels)
+    )
+    point, scale = _columns("_u"), F.col("_user_scale")
+    index = {axis: geo.axis_index(point[axis], scale) for axis in geo.AXES}
+    return by_level.withColumn("_cell", geo.cell_id(F.col("_user_level"), index)).drop(
+        "_user_level", "_user_scale"
     )
-    level, point = F.col("_user_level"), _columns("_u")
-    index = {axis: geo.axis_index(point[axis], level) for axis in geo.AXES}
-    return by_level.withColumn("_cell", geo.cell_id(level, index)).drop("_user_level")
 
 
 def two_faces(users: DataFrame) -> DataFrame:
@@ -119,9 +126,9 @@ def match_requests(
 
     ``users`` has text columns ``lat`` and ``lng``; ``equal`` adds equalities,
     request column to user column. Both sides are keyed by cells sized by the
-    range, joined on the cell; a padded straight-line test drops most candidates without
-    trigonometry and the exact distance decides the rest. While the
-    requests' cells fit a checked bound they are broadcast and the users are
+    range and joined on the cell. Straight-line tests settle all but the
+    candidates within a metre of the range; the exact distance decides those.
+    While the requests' cells fit a checked bound they are broadcast and the users are
     scanned once without a shuffle; beyond it both sides are shuffled by cell
     with hot cells split. ``small_requests`` overrides the check.
     """
@@ -141,12 +148,12 @@ def match_requests(
     else:
         candidates = salted_join(stores, located, keys)
     distance = geo.haversine_m(*[F.col(c) for c in ("_store_lat", "_store_lng", "_lat", "_lng")])
-    matches = (
-        candidates.where(
-            geo.squared_distance(_columns("_s"), _columns("_u")) <= F.col("_chord") * F.col("_chord")
-        )
-        .withColumn("distance_m", distance)
-        .where(geo.within_range(F.col("distance_m"), F.col("store_range")))
+    apart = geo.squared_distance(_columns("_s"), _columns("_u"))
+    outer = F.col("_chord") * F.col("_chord")
+    inner = F.when(F.col("_inner") > 0, F.col("_inner") * F.col("_inner")).otherwise(-1.0)
+    exact = geo.within_range(F.col("distance_m"), F.col("store_range"))
+    matches = candidates.withColumn("distance_m", distance).where(
+        (apart <= inner) | ((apart <= outer) & exact)
     )
     kept = [*requests.columns, *[c for c in users.columns if c not in requests.columns]]
     return matches.select(*kept, "distance_m")
