@@ -214,29 +214,47 @@ def test_pairs_by_count_and_last(spark):
     assert any(jsontext.MESSAGE_DELAYED in t for t in texts)
 
 
-def test_sessions_merge_at_the_gap(spark):
+@pytest.mark.parametrize("min_rows", [0, 1000])
+def test_sessions_merge_at_the_gap(spark, min_rows):
     """A record exactly one gap after the last still belongs to the session."""
     times = [0.0, 10.0, 19.5, 29.500001, 60.0, 69.999999, 79.999998]
     records = fixtures.topic(spark, [(i, "t", f"m{i}", None, t) for i, t in enumerate(times)])
     counts = windows.sessions(records, 10, aggregates={"records": F.count(F.lit(1))},
-                              merges={"records": F.sum})
+                              merges={"records": F.sum}, min_rows=min_rows)
     assert [r["records"] for r in counts.orderBy("window.start").collect()] == [3, 1, 3]
-    native = records.groupBy(F.session_window("create_time", "10 seconds"), "trade_id").count()
-    assert Counter(r["count"] for r in native.collect()) == {3: 2, 1: 1}
-    placed = correlate.with_session(records, 10)
-    assert Counter(
-        placed.groupBy("session_start").count().toPandas()["count"]
-    ) == {3: 2, 1: 1}
+    placed = correlate.with_session(records, 10, min_rows=min_rows)
+    per_session = placed.groupBy("session_start", "session_end").count()
+    assert Counter(r["count"] for r in per_session.collect()) == {3: 2, 1: 1}
+
+
+@pytest.mark.parametrize("min_rows", [100, 10**9])
+def test_sessions_of_heavy_keys_equal_others(spark, min_rows):
+    records = spark.range(600).selectExpr(
+        "id as seq",
+        "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else cast(id % 5 as string) end as trade_id",
+        "if(id % 2 = 0, 'm' || id, null) as msg_id", "if(id % 2 = 0, null, '' || id % 10) as status_code",
+        "timestamp_micros(1700000000000000 + (id * 7919 % 1000) * 700000) as create_time",
+    ).cache()
+    found = windows.sessions(records, 2, min_rows=min_rows)
+    native = windows.stream_sessions(records, "2 seconds")
+    assert Counter(map(str, found.collect())) == Counter(map(str, native.collect()))
+    placed = correlate.with_session(records, 2, min_rows=min_rows)
+    bounds = placed.groupBy("trade_id", "session_start", "session_end").count()
+    assert Counter(map(tuple, bounds.collect())) == Counter(
+        (r["trade_id"], r["window"]["start"], r["window"]["end"], r["records"])
+        for r in native.collect()
+    )
 
 
-def test_session_join_makes_every_pair(spark):
+@pytest.mark.parametrize("min_rows", [1, 1000])
+def test_session_join_makes_every_pair(spark, min_rows):
     records = fixtures.topic(
         spark,
         [(1, "t", "m1", None, 0.0), (2, "t", None, "1", 2.0), (3, "t", "m2", None, 4.0),
          (4, "t", None, "2", 6.0), (5, "t", "m3", None, 50.0), (6, "u", None, "3", 0.0)],
     )
     pairs = correlate.session_join(
-        records.where("msg_id IS NOT NULL"), records.where("msg_id IS NULL"), 3
+        records.where("msg_id IS NOT NULL"), records.where("msg_id IS NULL"), 3, min_rows=min_rows
     )
     assert rows(pairs.select("msg_id", "status_code")) == [
         ("m1", "1"), ("m1", "2"), ("m2", "1"), ("m2", "2")

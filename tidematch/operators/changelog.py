@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidematch.operators.joins import MIN_ROWS
-from tidematch.operators.running import BLOCK, running_sum
+from tidematch.operators.running import BLOCK, HEAVY_ROWS, running_sum
 
 
 def sum_changelog(
@@ -18,7 +17,7 @@ def sum_changelog(
     order: str,
     alias: str = "total",
     block: int = BLOCK,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Rows ``(is_add, keys, alias, order)``: each record that changes its key's
     sum retracts the old one and adds the new one; the first only adds."""

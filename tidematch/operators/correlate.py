@@ -9,36 +9,58 @@ from pyspark.sql import functions as F
 
 from tidematch.functions.jsontext import not_empty
 from tidematch.functions.timetext import epoch_micros
-from tidematch.operators.joins import MIN_ROWS, salted_join
-from tidematch.operators.running import BLOCK, running_sum, with_carry
+from tidematch.operators.joins import salted_join
+from tidematch.operators.running import (
+    BLOCK,
+    HEAVY_ROWS,
+    running_sum,
+    same_keys,
+    split_heavy,
+    with_carry,
+)
 from tidematch.operators.sizes import cut_lineage
 from tidematch.operators.windows import KEY, slice_start, slices_of
 
 
-def with_session(
-    df: DataFrame, gap_s: int, key: str = KEY, time: str = "create_time"
-) -> DataFrame:
-    """Each record with its session's start and end. Sessions are found on
-    gap-long slices; records meet them by (key, slice), never by key alone."""
+def _islands(df: DataFrame, gap_s: int, key: str, order: str) -> DataFrame:
+    """Session start and end of rows that reach from ``_from`` to ``_to``."""
     gap = F.make_dt_interval(secs=F.lit(gap_s))
-    in_order = Window.partitionBy(key).orderBy("_slice")
+    in_order = Window.partitionBy(key).orderBy(order)
     upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
     before = F.lag("_to").over(in_order)
     opens = F.when(before.isNull() | (F.col("_from") > before + gap), F.col("_from"))
-    slices = (
-        slices_of(df, gap_s, [key], time, {})
-        .withColumn("_opens", opens)
+    return (
+        df.withColumn("_opens", opens)
         .withColumn("session_start", F.last("_opens", ignorenulls=True).over(upto))
         .withColumn(
             "session_end", F.max("_to").over(Window.partitionBy(key, "session_start")) + gap
         )
-        .select(key, "_slice", "session_start", "session_end")
+        .drop("_opens", "_from", "_to")
     )
-    return (
-        df.withColumn("_slice", slice_start(epoch_micros(F.col(time)), gap_s))
-        .join(slices, [key, "_slice"])
-        .drop("_slice")
+
+
+def with_session(
+    df: DataFrame,
+    gap_s: int,
+    key: str = KEY,
+    time: str = "create_time",
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Each record with its session's start and end. For heavy keys sessions are
+    found on gap-long slices, and records meet them by (key, slice), never by key
+    alone."""
+    light, heavy = split_heavy(df.dropna(subset=[time]), [key], min_rows)
+    moment = F.col(time)
+    placed = _islands(light.withColumns({"_from": moment, "_to": moment}), gap_s, key, time)
+    if heavy is None:
+        return placed
+    found = _islands(slices_of(heavy, gap_s, [key], time, {}), gap_s, key, "_slice")
+    in_slice = heavy.withColumn("_slice", slice_start(epoch_micros(moment), gap_s))
+    columns = [F.col(f"d.{c}") for c in df.columns] + ["session_start", "session_end"]
+    joined = in_slice.alias("d").join(
+        found.alias("s"), same_keys("d", "s", [key, "_slice"])
     )
+    return placed.unionByName(joined.select(*columns))
 
 
 def session_join(
@@ -47,6 +69,7 @@ def session_join(
     gap_s: int,
     key: str = KEY,
     time: str = "create_time",
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Every message with every status of the same key and session. Sessions are
     formed over the records of both inputs together; the status is taken from
@@ -56,10 +79,10 @@ def session_join(
     tagged = messages.select(*columns, F.lit(True).alias("_is_message")).unionByName(
         statuses.select(*columns, F.lit(False).alias("_is_message"))
     )
-    placed = cut_lineage(with_session(tagged, gap_s, key, time))
-    keys = [key, "session_start", "session_end"]
+    placed = cut_lineage(with_session(tagged.dropna(subset=[key]), gap_s, key, time, min_rows))
+    keys = [key, "session_start"]
     lefts = placed.where("_is_message").select(
-        *keys, "msg_id", F.col(time).alias("message_time")
+        *keys, "session_end", "msg_id", F.col(time).alias("message_time")
     )
     rights = placed.where("NOT _is_message").select(
         *keys, "status_code", F.col(time).alias("status_time")
@@ -74,7 +97,7 @@ def correlate_within(
     time: str = "create_time",
     sequence: str = "seq",
     block_s: int | None = None,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Each status with the key's latest earlier message, if that message is
     younger than the time to live; other statuses are dropped.
@@ -121,7 +144,7 @@ def state_history(
     entry: Sequence[str] = ("msg_id", "status_code"),
     order: str = "seq",
     block: int = BLOCK,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Each record re-emitted with the number of distinct entries its key's state
     holds after it. ``order`` is an integer, unique per record."""

@@ -56,11 +56,11 @@ def _hot_keys(
     """Keys to split, with the number of chunks for each side. A key's rows are
     cut so that no chunk exceeds a fair share of its side, and further until no
     pair of chunks makes more than a fair share of all pairs."""
-
-    def counted(df: DataFrame, alias: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(alias))
-
-    both = counted(left, "l").join(counted(right, "r"), keys, "full").na.fill(0.0, ["l", "r"])
+    one, none = F.lit(1.0), F.lit(0.0)
+    tagged = left.select(*keys, one.alias("l"), none.alias("r")).unionByName(
+        right.select(*keys, none.alias("l"), one.alias("r"))
+    )
+    both = tagged.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     shares = both.agg(
         F.struct(
             F.greatest(F.sum("l") / chunks, F.lit(float(min_rows))).alias("l"),
@@ -77,7 +77,7 @@ def _hot_keys(
         F.ceil(F.col("l") * F.col("r") / F.col("_share.pairs")).alias("_cells"),
     )
     # Cutting a square of l x r pairs into this many stripes repeats fewest rows.
-    stripes = F.ceil(F.sqrt(F.col("_cells") * F.col("l") / F.col("r")))
+    stripes = F.ceil(F.sqrt(F.col("_cells") * F.col("l") / F.nullif("r", F.lit(0.0))))
     more = F.col("_cells") > F.col("_l") * F.col("_r")
     parts = parts.withColumn(
         "_l", F.when(more, F.greatest("_l", F.least(stripes, F.ceil("l")))).otherwise(F.col("_l"))

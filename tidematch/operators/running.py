@@ -16,13 +16,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidematch.operators.joins import CHUNKS, MIN_ROWS
+from tidematch.operators.joins import CHUNKS
 
 BLOCK = 100_000
+# A key with fewer rows is no burden for one task.
+HEAVY_ROWS = 1_000_000
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], chunks: int = CHUNKS, min_rows: int = MIN_ROWS
+    df: DataFrame, keys: Sequence[str], chunks: int = CHUNKS, min_rows: int = HEAVY_ROWS
 ) -> DataFrame | None:
     """Keys with more than ``1/chunks`` of all rows, at most ``chunks`` of them,
     or None. Null counts as a key."""
@@ -35,13 +37,31 @@ def heavy_keys(
     return df.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
 
 
+def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Equality of the keys of two aliased inputs, null equal to null."""
+    terms = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, terms)
+
+
+def split_heavy(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Records of light keys, and those of heavy ones or None."""
+    heavy = heavy_keys(df, keys, min_rows=min_rows)
+    if heavy is None:
+        return df, None
+    few = F.broadcast(heavy).alias("h")
+    light = df.alias("d").join(few, same_keys("d", "h", keys), "left_anti")
+    return light, df.alias("d").join(few, same_keys("d", "h", keys), "left_semi")
+
+
 def with_carry(
     df: DataFrame,
     keys: Sequence[str],
     block: Column,
     aggregates: dict[str, Column],
     merge,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """``df`` with ``_block``, which is 0 for all but heavy keys, and ``_carry``
     set on one more row per block of a heavy key: there the columns named in
@@ -50,13 +70,14 @@ def with_carry(
     heavy = heavy_keys(df, keys, min_rows=min_rows)
     if heavy is None:
         return df.withColumns({"_block": F.lit(0).cast("long"), "_carry": F.lit(False)})
-    same = reduce(
-        lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    )
     blocked = (
         df.withColumn("_in_block", block)
         .alias("d")
-        .join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))).alias("h"), same, "left")
+        .join(
+            F.broadcast(heavy.withColumn("_heavy", F.lit(True))).alias("h"),
+            same_keys("d", "h", keys),
+            "left",
+        )
         .select("d.*", "h._heavy")
         .withColumn("_block", F.when(F.col("_heavy"), F.col("_in_block")).otherwise(0))
         .drop("_in_block")
@@ -84,7 +105,7 @@ def running_sum(
     order: str,
     alias: str,
     block: int = BLOCK,
-    min_rows: int = MIN_ROWS,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` over the key's records up to and including each one, and
     ``<alias>_before`` without it; ``_first`` marks the key's first record.

@@ -21,6 +21,7 @@ from tidematch.functions.jsontext import (
     to_text,
 )
 from tidematch.functions.timetext import epoch_micros, window_label
+from tidematch.operators.running import HEAVY_ROWS, split_heavy
 
 KEY = "trade_id"
 
@@ -172,17 +173,24 @@ def sessions(
     time: str = "create_time",
     aggregates: dict[str, Column] | None = None,
     merges: dict | None = None,
+    min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """One row per key and session. Records are first combined per gap-long
-    slice of time with partial aggregation; only slices are merged into
-    sessions, so one key costs at most (time span / gap) rows in one task."""
+    """One row per key and session, in batch. Records of heavy keys are first
+    combined per gap-long slice of time with partial aggregation; only slices are
+    merged into sessions, so such a key costs at most (time span / gap) rows in
+    one task."""
     values = aggregates or pair_aggregates(time)
     merges = merges or PAIR_MERGES
-    slices = slices_of(df, gap_s, keys, time, values)
-    return (
-        slices.groupBy(_slice_session(gap_s).alias("window"), *keys)
+    light, heavy = split_heavy(df, keys, min_rows)
+    found = stream_sessions(light, f"{gap_s} seconds", keys, time, values)
+    if heavy is None:
+        return found
+    merged = (
+        slices_of(heavy, gap_s, keys, time, values)
+        .groupBy(_slice_session(gap_s).alias("window"), *keys)
         .agg(*[merges[n](n).alias(n) for n in values])
     )
+    return found.unionByName(merged)
 
 
 def stream_sessions(
@@ -192,7 +200,7 @@ def stream_sessions(
     time: str = "create_time",
     aggregates: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """The streaming form, kept as session state; set the watermark first."""
+    """One row per key and session; on a stream, set the watermark first."""
     values = aggregates or pair_aggregates(time)
     return df.groupBy(F.session_window(time, gap).alias("window"), *keys).agg(
         *[v.alias(n) for n, v in values.items()]
