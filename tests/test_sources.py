@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests import fixtures
 from tidematch import schemas
 from tidematch.sources import files, kafka, partitions, tables
+from tidematch.streaming import jobs
 
 
 def test_rows_and_lines(spark, tmp_path):
@@ -92,10 +93,22 @@ def test_latest_is_looked_up_again_after_the_interval(spark, tmp_path):
     assert always(spark).count() == rarely(spark).count() == 6
     tables.write_partitioned(rows.limit(2).withColumn("partstart", F.lit("20220210")), path)
     assert always(spark).count() == 2
+    assert partitions.latest_by_write_time(spark, path) == "20220210"
     assert rarely(spark).count() == 6
     assert partitions.read_table(spark, path).count() == 8
 
 
+def test_table_stream_reads_a_file_or_a_folder(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/many.parquet")
+    part = next((tmp_path / "many.parquet").glob("part-*"))
+    (tmp_path / "one.parquet").write_bytes(part.read_bytes())
+    for name in ("many", "one"):
+        stream = files.table_stream(spark, str(tmp_path), name)
+        out = f"{tmp_path}/out-{name}"
+        jobs.run_available(jobs.file_writer(stream, out, f"{tmp_path}/checkpoint-{name}"))
+        assert spark.read.parquet(out).count() == 5
+
+
 def test_empty_table_has_no_latest_partition(spark):
     tables.create_table(spark, "no_users", schemas.USER_LOCATION)
     assert partitions.latest_partition(spark, "no_users").count() == 0

@@ -12,6 +12,12 @@ FIELD_SEPARATOR = "\x01"
 FILES_PER_TRIGGER = 256
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path of a location."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
     """A bounded table from literal rows."""
     return spark.createDataFrame(list(rows), schema)
@@ -51,13 +57,14 @@ def table_stream(
 ) -> DataFrame:
     """Stream the Parquet table ``folder/name.parquet``, a file or a folder of
     files. ``files_per_trigger`` bounds what one micro-batch may hold."""
-    batch = spark.read.parquet(f"{folder}/{name}.parquet")
-    reader = spark.readStream.schema(batch.schema).option(
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option(
         "maxFilesPerTrigger", files_per_trigger
     )
-    if batch.inputFiles()[0].endswith(f"/{name}.parquet"):
+    files, location = file_system(spark, path)
+    if files.getFileStatus(location).isFile():
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    return reader.parquet(f"{folder}/{name}.parquet")
+    return reader.parquet(path)
 
 
 def numbered_rows(
