@@ -45,5 +45,8 @@ def shared(df: DataFrame) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Keep the rows in the shared checkpoint folder, so that several consumers
     read them instead of computing them again and a lost executor costs none."""
-    checkpoint_root(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    root = checkpoint_root(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return df.checkpoint(eager=True)

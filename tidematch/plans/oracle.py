@@ -357,6 +357,16 @@ SQL |= {
     "stream_punctuated": _with(TOPICS, _BUCKETS, select=_pair_by_last("buckets", _PUNCTUATED)),
     "stream_state_history": _HISTORY,
     "stream_event_ttl": _TTL_JOIN,
+    "stream_processing_windows": _with(
+        TOPICS, select="SELECT trade_id, count(*) AS records FROM topics GROUP BY trade_id"
+    ),
+    "stream_late_windows": _with(
+        TOPICS,
+        _BUCKETS,
+        select="""SELECT trade_id, window_start, count(*) AS records FROM buckets
+GROUP BY trade_id, window_start""",
+    ),
+    "stream_sum": SQL["sum_by_key"],
     "stream_changelog": _CHANGELOG,
     "stream_union": SQL["union_topics"],
     "stream_join_table": SQL["equi_join"],

@@ -316,14 +316,19 @@ def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 # Sums and changelog ---------------------------------------------------------
 
 
-def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(
+def score_records(orders: DataFrame) -> DataFrame:
+    """Orders as scores of their customers."""
+    return orders.select(
         F.col("o_custkey").cast("string").alias("name"),
         F.round(F.col("o_totalprice")).cast("bigint").alias("score"),
         F.col("o_orderkey").alias("seq"),
     )
 
 
+def _scores(spark: SparkSession, sf: str) -> DataFrame:
+    return score_records(table(spark, sf, "orders"))
+
+
 def sum_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.sum_by(_scores(spark, sf), ["name"], "score")
 

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from tidematch.functions.timetext import epoch_micros
 from tidematch.operators import aggregate, joins, route, shape, windows
 from tidematch.plans import coupon, inputs
-from tidematch.plans.queries import GAP_S, TTL_S, WINDOW, batch_time, entry_records
+from tidematch.plans.queries import (
+    GAP_S,
+    TTL_S,
+    WINDOW,
+    batch_time,
+    entry_records,
+    score_records,
+)
 from tidematch.session import streaming_session, work_dir
 from tidematch.sources import files, partitions
 from tidematch.streaming import jobs, keyed, watermarks
@@ -72,13 +79,42 @@ def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(paired.schema).parquet(f"{folder}/rows")
 
 
-def stream_changelog(spark: SparkSession, sf: str) -> DataFrame:
-    orders = files.table_stream(streaming_session(spark), sf, "orders")
-    scores = orders.select(
-        F.col("o_custkey").cast("string").alias("name"),
-        F.round("o_totalprice").cast("bigint").alias("score"),
-        F.col("o_orderkey").alias("seq"),
+def stream_processing_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions in processing time, closed by a timer; where they begin and end
+    depends on the clock, the records they hold together do not."""
+    found = keyed.processing_windows(_topics(spark, sf), 1000, session=True)
+    folder = work_dir(spark, "processing")
+    writer = jobs.file_writer(found, f"{folder}/rows", f"{folder}/checkpoint")
+    jobs.run_until_idle(writer, idle_s=6)
+    rows = spark.read.schema(found.schema).parquet(f"{folder}/rows")
+    return rows.groupBy("trade_id").agg(F.sum("records").alias("records"))
+
+
+def _updates(spark: SparkSession, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Run in update mode and keep the last row per key."""
+    folder = work_dir(spark, name)
+    write = jobs.write_batch(f"{folder}/rows")
+    jobs.run_available(jobs.batch_writer(df, write, f"{folder}/checkpoint", "update"))
+    return jobs.last_updates(spark.read.parquet(f"{folder}/rows"), keys)
+
+
+def stream_late_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows given out again for late records until the lateness ends."""
+    records = watermarks.with_lateness(_topics(spark, sf), 1, 1)
+    counts = windows.tumbling(records, WINDOW, aggregates={"records": F.count(F.lit(1))})
+    flat = counts.select(
+        "trade_id", epoch_micros(F.col("window.start")).alias("window_start"), "records"
     )
+    return _updates(spark, flat, ["trade_id", "window_start"], "late")
+
+
+def stream_sum(spark: SparkSession, sf: str) -> DataFrame:
+    scores = score_records(files.table_stream(streaming_session(spark), sf, "orders"))
+    return _updates(spark, aggregate.sum_by(scores, ["name"], "score"), ["name"], "sum")
+
+
+def stream_changelog(spark: SparkSession, sf: str) -> DataFrame:
+    scores = score_records(files.table_stream(streaming_session(spark), sf, "orders"))
     return _to_files(spark, keyed.sum_changes(scores), "changelog")
 
 
@@ -193,6 +229,9 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_state_history,
         stream_event_ttl,
         stream_ttl,
+        stream_processing_windows,
+        stream_late_windows,
+        stream_sum,
         stream_changelog,
         stream_union,
         stream_join_table,

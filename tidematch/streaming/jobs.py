@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 RESTARTS = 3
@@ -106,6 +107,13 @@ def run_resumable(
 
 
 
+def last_updates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last row per key of what update mode wrote with ``write_batch``."""
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    last = F.max_by(F.struct(*values), "batch_id").alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
+
+
 def write_result(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for complete mode: the latest result replaces
     the one before."""
