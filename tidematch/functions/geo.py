@@ -14,6 +14,8 @@ EARTH_RADIUS_KM = 6378.138  # fixed value
 # used (about 49 m); three indices of 19 bits and the level fit one long.
 FINEST_LEVEL = 17
 COARSEST_LEVEL = -2
+# Edge of about 100 km, at which the cells of the whole sphere can be broadcast.
+GATE_LEVEL = 6
 AXES = ("x", "y", "z")
 _BITS = 19
 _OFFSET = 1 << (_BITS - 1)
@@ -92,6 +94,14 @@ def cell_id(level: Column, index: dict[str, Column]) -> Column:
     return packed
 
 
+def gate_id(level: Column, index: dict[str, Column]) -> Column:
+    """The cell's ancestor at ``GATE_LEVEL``, or the cell itself where it is
+    coarser. The sphere has about 100,000 of them."""
+    steps = F.greatest(level - GATE_LEVEL, F.lit(0))
+    above = {axis: F.floor(index[axis] / F.pow(F.lit(2.0), steps)) for axis in AXES}
+    return cell_id(F.least(level, F.lit(GATE_LEVEL)), above)
+
+
 def touches_sphere(scale: Column, index: dict[str, Column]) -> Column:
     """Whether a cell can hold points of the unit sphere: its centre is no farther
     from the surface than half its diagonal."""

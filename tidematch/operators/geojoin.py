@@ -23,8 +23,8 @@ def _columns(prefix: str) -> dict[str, Column]:
 
 
 def request_cells(requests: DataFrame, step: int = 1) -> DataFrame:
-    """One row per request and cell its range can touch, as ``_cell``.
-    Requests that can match nobody have no row."""
+    """One row per request and cell its range can touch, as ``_cell``,
+    with the cell's region as ``_gate``. Requests that can match nobody have no row."""
     placed = requests.select(
         "*",
         geo.as_double(F.col("store_latitude")).alias("_store_lat"),
@@ -50,7 +50,12 @@ def request_cells(requests: DataFrame, step: int = 1) -> DataFrame:
     index = _columns("_i")
     return (
         cells.where(geo.touches_sphere(scale, index))
-        .withColumn("_cell", geo.cell_id(F.col("_level"), index))
+        .withColumns(
+            {
+                "_cell": geo.cell_id(F.col("_level"), index),
+                "_gate": geo.gate_id(F.col("_level"), index),
+            }
+        )
         .drop("_level", "_scale", *[f"_i{axis}" for axis in geo.AXES])
     )
 
@@ -90,9 +95,12 @@ def user_cells(users: DataFrame, levels: Column) -> DataFrame:
     )
     point, scale = _columns("_u"), F.col("_user_scale")
     index = {axis: geo.axis_index(point[axis], scale) for axis in geo.AXES}
-    return by_level.withColumn("_cell", geo.cell_id(F.col("_user_level"), index)).drop(
-        "_user_level", "_user_scale"
-    )
+    return by_level.withColumns(
+        {
+            "_cell": geo.cell_id(F.col("_user_level"), index),
+            "_gate": geo.gate_id(F.col("_user_level"), index),
+        }
+    ).drop("_user_level", "_user_scale")
 
 
 def two_faces(users: DataFrame) -> DataFrame:
@@ -129,8 +137,9 @@ def match_requests(
     range and joined on the cell. Straight-line tests settle all but the
     candidates within a metre of the range; the exact distance decides those.
     While the requests' cells fit a checked bound they are broadcast and the users are
-    scanned once without a shuffle; beyond it both sides are shuffled by cell
-    with hot cells split. ``small_requests`` overrides the check.
+    scanned once without a shuffle; beyond it users outside all requested
+    regions are dropped first and both sides are shuffled by cell with hot cells
+    split. ``small_requests`` overrides the check.
     """
     equal = dict(equal or {})
     if small_requests is None:
@@ -144,9 +153,12 @@ def match_requests(
     keys = ["_cell", *[f"_eq_{c}" for c in equal]]
     located = located.drop(*requests.columns)
     if small_requests:
-        candidates = located.join(F.broadcast(stores), keys)
+        candidates = located.drop("_gate").join(F.broadcast(stores.drop("_gate")), keys)
     else:
-        candidates = salted_join(stores, located, keys)
+        # Users of regions without a request never reach the shuffle.
+        gates = F.broadcast(stores.select("_gate").distinct())
+        near = located.join(gates, "_gate", "left_semi")
+        candidates = salted_join(stores.drop("_gate"), near.drop("_gate"), keys)
     distance = geo.haversine_m(*[F.col(c) for c in ("_store_lat", "_store_lng", "_lat", "_lng")])
     apart = geo.squared_distance(_columns("_s"), _columns("_u"))
     outer = F.col("_chord") * F.col("_chord")
