@@ -232,7 +232,8 @@ def test_sessions_of_heavy_keys_equal_others(spark, min_rows):
     records = spark.range(600).selectExpr(
         "id as seq",
         "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else cast(id % 5 as string) end as trade_id",
-        "if(id % 2 = 0, 'm' || id, null) as msg_id", "if(id % 2 = 0, null, '' || id % 10) as status_code",
+        "if(id % 2 = 0, 'm' || id, null) as msg_id",
+        "if(id % 2 = 0, null, '' || id % 10) as status_code",
         "timestamp_micros(1700000000000000 + (id * 7919 % 1000) * 700000) as create_time",
     ).cache()
     found = windows.sessions(records, 2, min_rows=min_rows)
