@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,7 @@ ROCKSDB_PROVIDER = (
 )
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -56,3 +59,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below the shared root, for tables and stream state."""
     return f"{checkpoint_root(spark)}/tidematch/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application.
+
+    Python operators refer to the package by name, and executors need not have
+    it on their path.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidematch-code-")) / "tidematch-package.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for path in sorted(package.rglob("*.py")):
+            target.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
