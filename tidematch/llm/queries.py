@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidematch.llm import bpe, langid, pii
+from tidematch.llm import bpe, langid, mixing, pii, quality
 from tidematch.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +36,25 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and verdicts of the line-first rules."""
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_removed"
+    return judged.select("doc_id", *[f"quality.{n}" for n in names.split()])
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copies that a mix by source weights takes of every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens and their decoded text, as digests."""
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
@@ -59,5 +78,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_pii": op1_pii, "op9_bpe": op9_bpe, "op10_langid": op10_langid}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_quality": op2_quality,
+    "op6_mixing": op6_mixing,
+    "op9_bpe": op9_bpe,
+    "op10_langid": op10_langid,
+}
+SQL = {"op2_quality": quality.SQL, "op6_mixing": mixing.SQL}
