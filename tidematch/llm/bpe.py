@@ -27,10 +27,10 @@ from tokenizers import Tokenizer
 from tidematch.llm.common import map_batches
 from tidematch.session import ship_package
 
-#: Pieces whose tokens a worker remembers; beyond it those met only once go.
-REMEMBERED = 500_000
+#: Pieces in each of two memories of a worker; beyond it the older one goes.
+REMEMBERED = 200_000
 #: Pieces of a text that are looked up, and so pass one pair index, at once.
-PIECES = 2_000_000
+PIECES = 400_000
 #: The byte alphabet spells bytes as characters below this code.
 LETTERS = 512
 PRINTABLE = re.compile(r"[!-~]+")
@@ -134,6 +134,19 @@ class PairIndex:
         return symbol[kept].astype("<u4"), np.append(0, np.cumsum(counts))
 
 
+class Memory(dict):
+    """Packed ids by piece, with an older memory from which what is met again
+    moves over."""
+
+    def __init__(self, old: dict):
+        super().__init__()
+        self.old = dict(old)
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.old[piece]
+        return ids
+
+
 class Codec:
     """Texts to ids and back for one tokenizer file."""
 
@@ -153,8 +166,7 @@ class Codec:
         )
         names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        self.known: dict[bytes, bytes] = {}
-        self.again: set[bytes] = set()  # met since the memory was last thinned out
+        self.known = Memory({})
         self.words: dict[str, bytes] = {}
 
     def _words(self, piece: str) -> list[str]:
@@ -197,18 +209,13 @@ class Codec:
 
     def _ids(self, pieces: list[bytes]) -> bytes:
         """Packed ids of these pieces in order."""
-        here = set(pieces)
-        lacking = here - self.known.keys()
+        lacking = set(pieces) - self.known.keys() - self.known.old.keys()
         if lacking:
             if len(self.known) + len(lacking) > REMEMBERED:
-                self.known = {p: i for p, i in self.known.items() if p in self.again}
+                self.known = Memory(self.known)
                 self.words.clear()
-                self.again.clear()
-                if len(self.known) + len(lacking) > REMEMBERED:
-                    self.known.clear()
-                lacking = here - self.known.keys()
+                lacking = set(pieces) - self.known.old.keys()
             self._learn(list(lacking))
-        self.again |= here - lacking
         return b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -294,7 +301,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         docs.select(F.col(key), F.col(text)),
         make,
         f"`{key}` {kind}, n_tokens long, ids binary",
-        rows_at_once=10_000,
+        rows_at_once=2_000,
     )
 
 
