@@ -28,9 +28,9 @@ from tidematch.llm.common import map_batches
 from tidematch.session import ship_package
 
 #: Pieces in each of two memories of a worker; beyond it the older one goes.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 #: Pieces of a text that are looked up, and so pass one pair index, at once.
-PIECES = 400_000
+PIECES = 300_000
 #: The byte alphabet spells bytes as characters below this code.
 LETTERS = 512
 PRINTABLE = re.compile(r"[!-~]+")
@@ -164,8 +164,6 @@ class Codec:
         self.at_special = re.compile(
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
-        names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.known = Memory({})
         self.words: dict[str, bytes] = {}
 
@@ -232,6 +230,17 @@ class Codec:
                 out += [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut[start:end]]
         return out
 
+
+class Decoder:
+    """Ids to text for one tokenizer file."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        names = {i: t for t, i in spec["model"]["vocab"].items()}
+        names |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.names = [names.get(i, "") for i in range(max(names) + 1)]
+
     def decode(self, packed: bytes) -> str:
         """The tokens' strings with a space between, as a tokenizer without a decoder."""
         return " ".join(map(self.names.__getitem__, array("I", packed)))
@@ -268,14 +277,14 @@ def _spans(cut: list[list[bytes]]):
         yield start, len(cut)
 
 
-_codecs: dict[str, Codec] = {}
+_built: dict[tuple[type, str], Codec | Decoder] = {}
 
 
-def codec(path: str) -> Codec:
-    """This worker's codec for a file."""
-    if path not in _codecs:
-        _codecs[path] = Codec(path)
-    return _codecs[path]
+def built(kind: type, path: str):
+    """This worker's codec or decoder for a file."""
+    if (kind, path) not in _built:
+        _built[kind, path] = kind(path)
+    return _built[kind, path]
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -288,7 +297,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     ship_package(docs.sparkSession)
 
     def make():
-        coder = codec(path)
+        coder = built(Codec, path)
 
         def call(columns):
             packed = coder.encode(columns[1])
@@ -310,7 +319,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     ship_package(encoded.sparkSession)
 
     def make():
-        coder = codec(path)
+        coder = built(Decoder, path)
 
         def call(columns):
             return [(k, n, p, coder.decode(p)) for k, n, p in zip(*columns)]

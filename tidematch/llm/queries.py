@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidematch.llm import bpe, langid, mixing, pii, quality
+from tidematch.llm import ann, bpe, html, langid, mixing, pii, quality, simhash, urls
 from tidematch.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,22 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in names.split()])
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest document linked with it."""
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        simhash.hexadecimal("fp").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest neighbours of every hundredth vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies that a mix by source weights takes of every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -55,6 +71,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, rule and verdict."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens and their decoded text, as digests."""
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
@@ -81,7 +107,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
+    "op3_simhash": op3_simhash,
+    "op4_ann": op4_ann,
     "op6_mixing": op6_mixing,
+    "op7_html": op7_html,
+    "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_langid": op10_langid,
 }
