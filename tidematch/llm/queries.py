@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidematch.llm import ann, bpe, html, langid, mixing, pii, quality, simhash, urls
+from tidematch.llm import ann, bpe, html, langid, linededup, mixing, pii, quality, simhash, urls
 from tidematch.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,12 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without lines that repeat an earlier one."""
+    cleaned = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies that a mix by source weights takes of every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -109,10 +115,11 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_ann": op4_ann,
+    "op5_lines": op5_lines,
     "op6_mixing": op6_mixing,
     "op7_html": op7_html,
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_langid": op10_langid,
 }
-SQL = {"op2_quality": quality.SQL, "op6_mixing": mixing.SQL}
+SQL = {"op2_quality": quality.SQL, "op5_lines": linededup.SQL, "op6_mixing": mixing.SQL}
