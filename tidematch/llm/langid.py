@@ -250,3 +250,26 @@ def predict(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "tex
 
     kind = dict(docs.dtypes)[key]
     return map_batches(docs.select(key, text), make, f"`{key}` {kind}, lang_pred string, score double")
+
+
+def with_language(
+    docs: DataFrame, net: Network, text: str = "text"
+) -> DataFrame:
+    """``docs`` with the columns lang_pred and score, which replace any of these
+    names. The rows pass the network as they are, so nothing is joined."""
+    ship_package(docs.sparkSession)
+    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    place = own.index(text)
+
+    def make():
+        model = Predictor(net)
+
+        def call(columns):
+            found = model.predict(columns[place])
+            return [(*row, *p) for row, p in zip(zip(*columns), found)]
+
+        return call
+
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + ["lang_pred string", "score double"])
+    return map_batches(docs.select(*[f"`{c}`" for c in own]), make, schema)

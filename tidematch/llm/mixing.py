@@ -214,6 +214,24 @@ def apply(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     return ranked.withColumn("copies", copies).drop("rank", "draw", "whole", "rest", "last", "floor")
 
 
+def repeated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """Rows of ``docs``, each as often as the mix takes it, with its columns."""
+    sizes = stored(sized(docs, key, text, source), "mix-sizes")
+    plan = plan_for(sizes)
+    whole = docs.select(
+        F.struct("*").alias("row"),
+        F.col(key).alias("key"),
+        F.col(source).alias("source"),
+        size_of(F.col(text)).alias("size"),
+        draw_of(F.col(key), F.col(text)).alias("draw"),
+    )
+    taken = apply(whole, plan).filter("copies > 0")
+    each = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
+    return taken.select("row", each.alias("copy")).select("row.*")
+
+
 SQL = f"""
 WITH d AS (
   SELECT doc_id, source,

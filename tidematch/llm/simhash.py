@@ -177,10 +177,13 @@ def links(prints: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
-def groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+def groups(rows: DataFrame, key: str = "doc_id", of_root: bool = False) -> DataFrame:
     """(key, fp, component) for rows of (key, fp): the smallest key that can be
     reached over linked fingerprints, the row's own included.
 
+    With ``of_root`` the result is (fp, root, k): for each fingerprint the one
+    that names its group, and its own smallest key.
+
     Null keys do not count as smallest; a group of nothing else has a null
     component. ``rows`` is read twice and should be a stored table.
     """
@@ -191,6 +194,8 @@ def groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     owned = base.alias("p").join(roots.alias("r"), F.expr("p.fp = r.node"), "left")
     owned = owned.select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     owned = stored(owned, "simhash-owned")
+    if of_root:
+        return owned.select("fp", "root", F.col("first").alias("k"))
     least = owned.groupBy("root").agg(F.min("first").alias("component"))
     named = owned.join(least, "root").select("fp", "component", "n")
     named = stored(named, "simhash-named")
@@ -218,6 +223,34 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return groups(stored(fingerprints(docs, key, text), "simhash-prints"), key)
 
 
+def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group: that with the smallest key.
+
+    Keys that are null come last. Of rows with that key and its smallest
+    fingerprint one stays. The columns are those of ``docs``.
+    """
+    ship_package(docs.sparkSession)
+    own = docs.columns
+    place = own.index(text)
+
+    def make():
+        def call(columns):
+            return [(*row, _signed(fingerprint(row[place]))) for row in zip(*columns)]
+
+        return call
+
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + ["_fp long"])
+    marked = stored(map_batches(docs, make, schema), "simhash-marked")
+    found = groups(marked.select(F.col(key).alias("k"), F.col("_fp").alias("fp")), "k", of_root=True)
+    order = F.struct(F.col("k").isNull().alias("none"), "k", "fp")
+    winners = found.groupBy("root").agg(F.min(order).alias("w")).select("w.k", "w.fp")
+    same = (F.col("m._fp") == F.col("w.fp")) & F.col(f"m.{key}").eqNullSafe(F.col("w.k"))
+    kept = marked.alias("m").join(winners.alias("w"), same, "left_semi")
+    # Repeated rows of a winner: these two columns are already together.
+    return kept.dropDuplicates(["_fp", key]).drop("_fp")
+
+
 def hexadecimal(fp):
     """The 64 bits as 16 lower-case digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
