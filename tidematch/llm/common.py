@@ -28,6 +28,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, an empty array for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")

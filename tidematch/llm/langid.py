@@ -253,12 +253,12 @@ def predict(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "tex
 
 
 def with_language(
-    docs: DataFrame, net: Network, text: str = "text"
+    docs: DataFrame, net: Network, pred: str, score: str, text: str = "text"
 ) -> DataFrame:
-    """``docs`` with the columns lang_pred and score, which replace any of these
-    names. The rows pass the network as they are, so nothing is joined."""
+    """``docs`` with two more columns, named ``pred`` and ``score``. The rows pass
+    the network as they are, so nothing is joined."""
     ship_package(docs.sparkSession)
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    own = docs.columns
     place = own.index(text)
 
     def make():
@@ -271,5 +271,5 @@ def with_language(
         return call
 
     kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + [f"`{pred}` string", f"`{score}` double"])
     return map_batches(docs.select(*[f"`{c}`" for c in own]), make, schema)

@@ -126,6 +126,11 @@ LOOK_ALIKES = {
 INVISIBLE = "­​‌‍⁠﻿"
 AT_WORDS = ("at", "arroba", "arobase", "ät")
 DOT_WORDS = ("dot", "punto", "punkt", "point")
+#: A host that is spelled out must end in one of these.
+HOST_ENDS = frozenset(
+    "com org net edu gov mil info biz io ai dev app co uk ie de at ch fr be nl lu es it pt eu us ca "
+    "au nz in jp cn br mx ar cl ru pl cz se no dk fi example test".split()
+)
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
     "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -212,6 +217,8 @@ def spelled_signs(text: str) -> list[tuple[int, int, str]]:
             signs = list(_WORD_SIGN.finditer(m[0]))
             if not signs or not signs[-1][2]:
                 continue  # what follows the at is written plainly: prose
+            if shape is _SPELLED_MAIL and m[0][signs[-1].end() :].lower() not in HOST_ENDS:
+                continue
             for s in _WORD_SIGN.finditer(text, m.start(), m.end()):
                 put = "." if s[2] else "@"
                 if s[0] != put:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidematch.llm.common import map_batches, stored
+from tidematch.llm.common import fresh, map_batches, stored
 from tidematch.llm.components import components
 from tidematch.session import ship_package
 
@@ -232,6 +232,7 @@ def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     ship_package(docs.sparkSession)
     own = docs.columns
     place = own.index(text)
+    fp = fresh(docs, "fp")
 
     def make():
         def call(columns):
@@ -240,15 +241,15 @@ def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return call
 
     kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + ["_fp long"])
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + [f"`{fp}` long"])
     marked = stored(map_batches(docs, make, schema), "simhash-marked")
-    found = groups(marked.select(F.col(key).alias("k"), F.col("_fp").alias("fp")), "k", of_root=True)
+    found = groups(marked.select(F.col(key).alias("k"), F.col(fp).alias("fp")), "k", of_root=True)
     order = F.struct(F.col("k").isNull().alias("none"), "k", "fp")
     winners = found.groupBy("root").agg(F.min(order).alias("w")).select("w.k", "w.fp")
-    same = (F.col("m._fp") == F.col("w.fp")) & F.col(f"m.{key}").eqNullSafe(F.col("w.k"))
+    same = (F.col(f"m.{fp}") == F.col("w.fp")) & F.col(f"m.{key}").eqNullSafe(F.col("w.k"))
     kept = marked.alias("m").join(winners.alias("w"), same, "left_semi")
     # Repeated rows of a winner: these two columns are already together.
-    return kept.dropDuplicates(["_fp", key]).drop("_fp")
+    return kept.dropDuplicates([fp, key]).drop(fp)
 
 
 def hexadecimal(fp):
