@@ -147,14 +147,26 @@ def state_history(
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Each record re-emitted with the number of distinct entries its key's state
-    holds after it. ``order`` is an integer, unique per record."""
+    holds after it. ``order`` is an integer that orders a key's records; two keys
+    may use the same numbers.
+
+    An entry is new at its first record. Both that and the running count are
+    windows within the key, so its records are shuffled once; a heavy key's
+    entries are found by an aggregate instead and meet its records per entry.
+    """
     group = list(dict.fromkeys([*keys, *entry]))
-    firsts = records.groupBy(*group).agg(F.min(order).alias("_first_at"))
-    marked = records.join(
-        firsts.select(F.col("_first_at").alias(order), F.lit(1).cast("long").alias("_new")),
-        order,
-        "left",
-    ).withColumn("_new", F.coalesce("_new", F.lit(0).cast("long")))
+    light, heavy = split_heavy(records, keys, min_rows)
+    first = F.row_number().over(Window.partitionBy(*group).orderBy(order))
+    marked = light.withColumn("_new", (first == 1).cast("long"))
+    if heavy is not None:
+        firsts = heavy.groupBy(*group).agg(F.min(order).alias("_first_at"))
+        met = heavy.alias("d").join(
+            firsts.alias("f"),
+            same_keys("d", "f", group) & (F.col(f"d.{order}") == F.col("f._first_at")),
+            "left",
+        )
+        new = F.col("f._first_at").isNotNull().cast("long").alias("_new")
+        marked = marked.unionByName(met.select("d.*", new))
     return running_sum(marked, keys, "_new", order, "entries", block, min_rows).drop(
         "_new", "entries_before", "_first"
     )

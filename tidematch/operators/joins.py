@@ -76,11 +76,12 @@ def _hot_keys(
         F.greatest(F.ceil(F.col("r") / F.col("_share.r")), F.lit(1)).alias("_r"),
         F.ceil(F.col("l") * F.col("r") / F.col("_share.pairs")).alias("_cells"),
     )
-    # Cutting a square of l x r pairs into this many stripes repeats fewest rows.
+    # Cutting a square of l x r pairs into this many stripes repeats fewest rows;
+    # more stripes than cells would only repeat the other side.
     stripes = F.ceil(F.sqrt(F.col("_cells") * F.col("l") / F.nullif("r", F.lit(0.0))))
     more = F.col("_cells") > F.col("_l") * F.col("_r")
     parts = parts.withColumn(
-        "_l", F.when(more, F.greatest("_l", F.least(stripes, F.ceil("l")))).otherwise(F.col("_l"))
+        "_l", F.when(more, F.greatest("_l", F.least(stripes, "_cells", F.ceil("l")))).otherwise(F.col("_l"))
     ).withColumn(
         "_r",
         F.when(
@@ -105,8 +106,9 @@ def salted_join(
     Keys are counted on both sides first, in a job of its own whose result, the
     hot keys, is bounded by ``chunks``. Rows of a hot key are spread over several
     chunks and the other side's rows of that key are repeated for each chunk, so
-    every pair meets exactly once. The spread uses the row's content and its
-    partition, which a recomputed task reproduces. Without hot keys it is a plain
+    every pair meets exactly once. Rows are dealt to the chunks in turn, in order
+    of a hash of their content within their partition: equal rows are spread as
+    well, and a recomputed task deals them alike. Without hot keys it is a plain
     join.
     """
     keys = list(keys)
@@ -118,11 +120,13 @@ def salted_join(
     hot = left.sparkSession.createDataFrame(rows, found.schema)
 
     def spread(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
-        content = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+        content = F.xxhash64(*[F.col(c) for c in df.columns])
         return (
             df.withColumn("_content", content)
+            .sortWithinPartitions("_content")
+            .withColumn("_turn", F.monotonically_increasing_id())
             .join(F.broadcast(hot), keys, "left")
-            .withColumn(own_salt, F.pmod("_content", F.coalesce(own, F.lit(1))))
+            .withColumn(own_salt, F.pmod("_turn", F.coalesce(own, F.lit(1))))
             .withColumn(
                 other_salt,
                 F.explode(
@@ -131,7 +135,7 @@ def salted_join(
                     )
                 ),
             )
-            .drop("_content", "_left_chunks", "_right_chunks")
+            .drop("_content", "_turn", "_left_chunks", "_right_chunks")
         )
 
     lefts = spread(left, "_left_chunks", "_right_chunks", "_left_salt", "_right_salt")
@@ -141,18 +145,21 @@ def salted_join(
     )
 
 
-def attach_rows(df: DataFrame, lookup: DataFrame, chunks: int = 64) -> DataFrame:
+def attach_rows(df: DataFrame, lookup: DataFrame, chunks: int | None = None) -> DataFrame:
     """Every record with every row of a lookup result, such as the rows of one
     key or of a small fixed table.
 
     The lookup's size is checked. A small one travels as one array value inside
     the plan and is unfolded in the scan of ``df``: one pass, no shuffle. Beyond
     the bound each record meets the lookup's rows through an equi-join on a
-    chunk number, so that no task holds all of either side.
+    chunk number, so that no task holds all of either side; there are four chunks
+    for each shuffle partition of the session, which follows the data's size.
     """
     if fits_broadcast(lookup, LOOKUP_ROWS, LOOKUP_BYTES):
         rows = lookup.agg(F.collect_list(F.struct(*lookup.columns))).scalar()
         return df.select("*", F.inline(rows))
+    if chunks is None:
+        chunks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     content = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
     lefts = df.withColumn("_chunk", F.pmod(content, F.lit(chunks)).cast("int"))
     rights = lookup.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))

@@ -42,15 +42,16 @@ def taken(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("route") == name).drop("route")
 
 
-def write_routes(writers: Mapping[str, Callable[[DataFrame], None]]) -> Callable:
+def write_routes(writers: Mapping[str, Callable[[DataFrame, int], None]]) -> Callable:
     """A ``foreachBatch`` function that computes a routed micro-batch once and
-    hands each output to its writer."""
+    hands each output and the batch's number to its writer. Writers such as
+    ``jobs.write_batch`` replace what an earlier try of the batch wrote."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for name, writer in writers.items():
-                writer(taken(batch, name))
+                writer(taken(batch, name), batch_id)
         finally:
             batch.unpersist()
 

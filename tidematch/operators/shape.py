@@ -59,9 +59,12 @@ def enrich_request(
     )
 
 
-def with_processing_time(df: DataFrame, name: str = "proctime") -> DataFrame:
-    """The time of the batch or micro-batch, the same for all of its rows."""
-    return df.withColumn(name, F.current_timestamp())
+def with_processing_time(
+    df: DataFrame, name: str = "proctime", moment: Column | None = None
+) -> DataFrame:
+    """The time of the batch or micro-batch, the same for all of its rows;
+    ``moment`` sets a fixed one, as for a repeated run."""
+    return df.withColumn(name, F.current_timestamp() if moment is None else moment)
 
 
 def pick(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -69,11 +72,6 @@ def pick(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(name) for c, name in columns.items()])
 
 
-def rename_all(df: DataFrame, *names: str) -> DataFrame:
-    """Rename columns by position."""
-    return df.toDF(*names)
-
-
 def query_view(df: DataFrame, name: str, sql: str, args: Mapping | None = None) -> DataFrame:
     """Register ``df`` as a view and query it; parameters are bound, not pasted."""
     df.createOrReplaceTempView(name)

@@ -120,15 +120,19 @@ def tumbling(
 
 
 def window_info(
-    df: DataFrame, length: str, keys: Sequence[str] = (KEY,), time: str = "create_time"
+    df: DataFrame,
+    length: str,
+    keys: Sequence[str] = (KEY,),
+    time: str = "create_time",
+    result: str = "apply result",  # fixed value
 ) -> DataFrame:
-    """Key, number of members, bounds as text, and the constant result."""
+    """Key, number of members, bounds as text, and a constant result."""
     counted = tumbling(df, length, keys, time, {"records": F.count(F.lit(1))})
     return counted.select(
         *keys,
         "records",
         window_label(F.col("window.start"), F.col("window.end")).alias("bounds"),
-        F.lit("apply result").alias("result"),
+        F.lit(result).alias("result"),
     )
 
 

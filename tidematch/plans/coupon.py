@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tidematch.functions.jsontext import not_empty, to_text
 from tidematch.operators import geojoin
-from tidematch.operators.joins import salted_join
 from tidematch.operators.sizes import cut_lineage, shared
 from tidematch.schemas import (
     COUPON_REQUEST_FIELDS,
@@ -32,6 +31,20 @@ def parse_requests(lines: DataFrame) -> DataFrame:
     return decode(lines, COUPON_REQUEST_JSON, COUPON_REQUEST_FIELDS)
 
 
+def once_per_request(
+    requests: DataFrame, resent_within: str = "1 day", received: str = "received"
+) -> DataFrame:
+    """A stream of requests without those whose id came before, in any
+    micro-batch, as long as it came within the time given; so the memory of ids
+    is bounded. Requests without an id all pass."""
+    timed = requests.withColumn(received, F.current_timestamp()).withWatermark(
+        received, resent_within
+    )
+    # Without an id each request counts as its own.
+    own = timed.withColumn("_id", F.coalesce("unique_req_id", F.expr("uuid()")))
+    return own.dropDuplicatesWithinWatermark(["_id"]).drop("_id", received)
+
+
 def distinct_requests(requests: DataFrame) -> DataFrame:
     """One row per request; a message sent twice counts once."""
     others = [c for c in requests.columns if c not in REQUEST_KEYS]
@@ -81,9 +94,8 @@ def _envelope(requests: DataFrame, matches: DataFrame, small_requests: bool) ->
     counts = matches.groupBy("request").agg(F.count(F.lit(1)).alias("n"))
     if small_requests:
         counts = F.broadcast(counts)
-        counted = matches.join(counts, "request")
-    else:
-        counted = salted_join(matches, counts, ["request"])
+    # A request has one count, so a hot one needs no more than the adaptive split.
+    counted = matches.join(counts, "request")
     frames = (
         requests.select(F.struct(*REQUEST_KEYS).alias("request"))
         .join(counts, "request", "left")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FIELD_SEPARATOR = "\x01"
-FILES_PER_TRIGGER = 256
+# What a micro-batch takes of a table, so also the most that one key holds of it.
+BYTES_PER_TRIGGER = "512m"
 
 
 def file_system(spark: SparkSession, path: str):
@@ -53,13 +54,14 @@ def spread_scan(df: DataFrame) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, files_per_trigger: int = FILES_PER_TRIGGER
+    spark: SparkSession, folder: str, name: str, bytes_per_trigger: str = BYTES_PER_TRIGGER
 ) -> DataFrame:
     """Stream the Parquet table ``folder/name.parquet``, a file or a folder of
-    files. ``files_per_trigger`` bounds what one micro-batch may hold."""
+    files. ``bytes_per_trigger`` bounds what one micro-batch may hold; a single
+    file is never cut."""
     path = f"{folder}/{name}.parquet"
     reader = spark.readStream.schema(spark.read.parquet(path).schema).option(
-        "maxFilesPerTrigger", files_per_trigger
+        "maxBytesPerTrigger", bytes_per_trigger
     )
     files, location = file_system(spark, path)
     if files.getFileStatus(location).isFile():

@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 RESTARTS = 3
 RESTART_DELAY_S = 10.0
@@ -40,34 +41,49 @@ def batch_writer(
     )
 
 
-def run_available(writer: DataStreamWriter, timeout_s: int = 600) -> StreamingQuery:
-    """Process what is there now and stop."""
+def run_available(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+    """Process what is there now and stop. Without a limit it takes as long as it
+    takes; reaching a limit raises."""
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_s):
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream not finished after {timeout_s} s")
     return query
 
 
-def run_until_idle(
-    writer: DataStreamWriter, idle_s: float = 0.0, timeout_s: float = 90.0
+def _used_up(progress: StreamingQueryProgress, first_batch: int, drain: bool) -> bool:
+    """Whether a micro-batch of this run found nothing new in any source and, if
+    asked, left no state behind. The first one may repeat a batch of an earlier
+    run, so it does not count."""
+    if progress.batchId <= first_batch or progress.numInputRows:
+        return False
+    if any(source.startOffset != source.endOffset for source in progress.sources):
+        return False
+    return not drain or not any(op.numRowsTotal for op in progress.stateOperators)
+
+
+def run_until_used_up(
+    writer: DataStreamWriter, drain: bool = False, timeout_s: float | None = None
 ) -> StreamingQuery:
-    """Process what is there and stop after three batches in a row, and at least
-    ``idle_s``, without input. For queries on processing time, which never end by
-    themselves; a resumed one may first repeat an empty batch."""
+    """Process what is there and stop, for queries on processing time, which never
+    end by themselves. They have ended when a micro-batch begins and ends at the
+    sources' last offsets; with ``drain`` also when timers have closed all that
+    is held in state. Reaching a limit raises."""
     query = writer.trigger(processingTime="0 seconds").start()
-    started = last_input = time.monotonic()
-    empty: set[int] = set()
+    started = time.monotonic()
+    first_batch: int | None = None
     try:
-        while query.isActive and time.monotonic() - started < timeout_s:
+        while query.isActive:
             progress = query.lastProgress
-            if progress is not None and progress.numInputRows:
-                last_input = time.monotonic()
-                empty.clear()
-            elif progress is not None:
-                empty.add(progress.batchId)
-            if len(empty) > 2 and time.monotonic() - last_input >= idle_s:
-                break
+            if progress is not None:
+                if first_batch is None:
+                    first_batch = progress.batchId
+                if _used_up(progress, first_batch, drain):
+                    break
+            if timeout_s is not None and time.monotonic() - started > timeout_s:
+                raise TimeoutError(f"stream not finished after {timeout_s} s")
             time.sleep(0.1)
     finally:
         query.stop()
@@ -106,7 +122,6 @@ def run_resumable(
     raise AssertionError("unreachable")
 
 
-
 def last_updates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last row per key of what update mode wrote with ``write_batch``."""
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]

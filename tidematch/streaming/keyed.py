@@ -1,14 +1,15 @@
 """Keyed state that windows and joins cannot express.
 
-A key's rows of one micro-batch are put in order before they are handled, so the
-source's per-trigger limit bounds what a task holds. State is read and written
-once per key and micro-batch, or once per new entry.
+A key's rows of one micro-batch are put in order and handled as columns; the
+source's limit of bytes per trigger bounds what a task holds of a key. State is
+read and written once per key and micro-batch, or once per new entry.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidematch.functions.timetext import epoch_micros
 from tidematch.operators.windows import KEY
+from tidematch.session import ship_package
 
 
 def _text(value) -> str:
@@ -23,6 +25,37 @@ def _text(value) -> str:
     return value if isinstance(value, str) else ""
 
 
+def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    """All of a key's rows of a micro-batch; they come in chunks."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
+
+
+def _last_message(frame: pd.DataFrame, held: tuple | None) -> pd.DataFrame:
+    """``frame`` in order with the columns ``held_id``, ``held_at`` and ``held_seq``:
+    the latest message at or before each row. ``held``, remembered from earlier
+    micro-batches as (msg_id, at_us, seq), takes its place among them."""
+    if held is not None:
+        first = pd.DataFrame(
+            {"at_us": [held[1]], "seq": [held[2]], "msg_id": [held[0]], "status_code": [None]}
+        )
+        frame = pd.concat([first.assign(own=False), frame.assign(own=True)], ignore_index=True)
+        frame = frame.sort_values(["at_us", "seq"], kind="stable", ignore_index=True)
+    else:
+        frame = frame.assign(own=True)
+    is_message = (frame["msg_id"].map(_text) != "").to_numpy()
+    # The place of the last message so far, -1 before the first.
+    place = np.maximum.accumulate(np.where(is_message, np.arange(len(frame)), -1))
+    known = place >= 0
+    at = np.where(known, place, 0)
+    return frame.assign(
+        is_message=is_message,
+        held_id=frame["msg_id"].to_numpy()[at],
+        held_at=frame["at_us"].to_numpy()[at],
+        held_seq=frame["seq"].to_numpy()[at],
+        known=known,
+    )
+
+
 class MessageMemory(StatefulProcessor):
     """Remembers a key's message id for ``ttl_ms`` after it was last written and
     pairs later statuses with it. ``ttl_ms`` counts processing time."""
@@ -38,19 +71,21 @@ class MessageMemory(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        frame = pd.concat(list(rows)).sort_values(["at_us", "seq"])
+        frame = _in_order(rows, ["at_us", "seq"])
         live = self.memory.containsKey(("msgId",))
-        held = self.memory.getValue(("msgId",))[0] if live else None
-        written = False
-        paired = []
-        for msg_id, status in zip(frame["msg_id"], frame["status_code"]):
-            if _text(msg_id):
-                held, written = msg_id, True
-            elif held is not None:
-                paired.append((key[0], held, status))
-        if written:
-            self.memory.updateValue(("msgId",), (held,))
-        yield pd.DataFrame(paired, columns=["trade_id", "msg_id", "status_code"])
+        before = self.memory.getValue(("msgId",))[0] if live else None
+        seen = _last_message(frame, None)
+        held = seen["held_id"].where(seen["known"], before)
+        if seen["known"].any():
+            self.memory.updateValue(("msgId",), (held.iloc[-1],))
+        paired = ~seen["is_message"] & held.notna()
+        yield pd.DataFrame(
+            {
+                "trade_id": key[0],
+                "msg_id": held[paired],
+                "status_code": seen["status_code"][paired],
+            }
+        )
 
     def close(self) -> None:
         pass
@@ -58,7 +93,9 @@ class MessageMemory(StatefulProcessor):
 
 class EventMemory(StatefulProcessor):
     """As ``MessageMemory``, with the time to live counted in event time, so that
-    a replay gives the same result."""
+    a replay gives the same result. The message that is later in event time is
+    kept, whichever micro-batch brings it; a timer frees the key once the
+    watermark has passed its life."""
 
     OUTPUT = "trade_id string, seq bigint, msg_id string, status_code string"
 
@@ -66,22 +103,39 @@ class EventMemory(StatefulProcessor):
         self.ttl_us = ttl_ms * 1000
 
     def init(self, handle) -> None:
-        self.memory = handle.getValueState("message", "msg_id string, at_us bigint")
+        self.handle = handle
+        self.memory = handle.getValueState("message", "msg_id string, at_us bigint, seq bigint")
+
+    def _end_ms(self, at_us: int) -> int:
+        return -(-(at_us + self.ttl_us) // 1000)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        frame = pd.concat(list(rows)).sort_values(["at_us", "seq"])
-        msg_id, at = self.memory.get() if self.memory.exists() else (None, 0)
-        paired = []
-        for seq, new_id, status, now in zip(
-            frame["seq"], frame["msg_id"], frame["status_code"], frame["at_us"]
-        ):
-            if _text(new_id):
-                msg_id, at = new_id, int(now)
-            elif msg_id is not None and now - at < self.ttl_us:
-                paired.append((key[0], seq, msg_id, status))
-        if msg_id is not None:
-            self.memory.update((msg_id, at))
-        yield pd.DataFrame(paired, columns=["trade_id", "seq", "msg_id", "status_code"])
+        before = self.memory.get() if self.memory.exists() else None
+        seen = _last_message(_in_order(rows, ["at_us", "seq"]), before)
+        if len(seen) and seen["known"].iloc[-1]:
+            last = seen.iloc[-1]
+            after = (last["held_id"], int(last["held_at"]), int(last["held_seq"]))
+            if before is None or tuple(before) != after:
+                if before is not None:
+                    self.handle.deleteTimer(self._end_ms(before[1]))
+                self.memory.update(after)
+                self.handle.registerTimer(self._end_ms(after[1]))
+        young = seen["at_us"] - seen["held_at"] < self.ttl_us
+        paired = seen["own"] & ~seen["is_message"] & seen["known"] & young
+        yield pd.DataFrame(
+            {
+                "trade_id": key[0],
+                "seq": seen["seq"][paired],
+                "msg_id": seen["held_id"][paired],
+                "status_code": seen["status_code"][paired],
+            }
+        )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.memory.clear()
+        yield pd.DataFrame({"trade_id": [], "seq": [], "msg_id": [], "status_code": []}).astype(
+            {"seq": "int64"}
+        )
 
     def close(self) -> None:
         pass
@@ -101,23 +155,24 @@ class EntryHistory(StatefulProcessor):
         self.size = handle.getValueState("size", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        frame = _in_order(rows, ["seq"])
         size = self.size.get()[0] if self.size.exists() else 0
-        now = pd.Timestamp.now()
-        for frame in rows:
-            frame = frame.sort_values("seq")
-            entry = frame["msg_id"].map(_text) + frame["status_code"].map(_text)
-            fresh = ~entry.duplicated()
-            for row in entry.index[fresh]:
-                name = (entry[row],)
-                if self.entries.containsKey(name):
-                    fresh[row] = False
-                else:
-                    self.entries.updateValue(name, (_text(frame["msg_id"][row]),))
-            yield frame.assign(entries=size + fresh.cumsum(), update_time=now)[
-                ["msg_id", "status_code", "seq", "entries", "update_time"]
-            ]
-            size += int(fresh.sum())
-        self.size.update((size,))
+        # Length first, so that two columns never read as the same entry.
+        ids = frame["msg_id"].map(_text)
+        entry = ids.str.len().astype(str) + ":" + ids + frame["status_code"].map(_text)
+        fresh = ~entry.duplicated()
+        for row in entry.index[fresh]:  # each entry of the micro-batch once
+            name = (entry[row],)
+            if self.entries.containsKey(name):
+                fresh[row] = False
+            else:
+                self.entries.updateValue(name, (ids[row],))
+        counted = size + fresh.cumsum()
+        if fresh.any():
+            self.size.update((int(counted.iloc[-1]),))
+        yield frame.assign(entries=counted, update_time=pd.Timestamp.now())[
+            ["msg_id", "status_code", "seq", "entries", "update_time"]
+        ]
 
     def close(self) -> None:
         pass
@@ -190,34 +245,49 @@ class ProcessingWindows(StatefulProcessor):
 
 
 class SumChanges(StatefulProcessor):
-    """A key's sum and the retract and add rows of each change to it."""
+    """A key's sum and the retract and add rows of each change to it. A null
+    score leaves the sum as it is; before the first other score it is null."""
 
     OUTPUT = "is_add boolean, name string, total bigint, seq bigint"
 
     def init(self, handle) -> None:
-        self.total = handle.getValueState("total", "total bigint")
+        self.total = handle.getValueState("total", "total bigint, known boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        total = self.total.get()[0] if self.total.exists() else None
-        changes = []
-        frame = pd.concat(list(rows)).sort_values("seq")
-        for score, seq in zip(frame["score"], frame["seq"]):
-            new = int(score) if total is None else total + int(score)
-            if total is not None and new != total:
-                changes.append((False, key[0], total, seq))
-            if new != total:
-                changes.append((True, key[0], new, seq))
-            total = new
-        if total is not None:
-            self.total.update((total,))
-        yield pd.DataFrame(changes, columns=["is_add", "name", "total", "seq"])
+        held, known = self.total.get() if self.total.exists() else (None, False)
+        started = self.total.exists()
+        frame = _in_order(rows, ["seq"])
+        sums = (held or 0) + frame["score"].cumsum().to_numpy()
+        filled = known | np.logical_or.accumulate(frame["has_score"].to_numpy())
+        before, before_filled = np.roll(sums, 1), np.roll(filled, 1)
+        before[0], before_filled[0] = held or 0, known
+        change = (sums != before) | (filled != before_filled)
+        add = change.copy()
+        add[0] |= not started
+        retract = change.copy()
+        retract[0] &= started
+        seq = frame["seq"].to_numpy()
+
+        def rows_of(which, totals, is_null, is_add):
+            values = pd.array(totals[which], dtype="Int64")
+            values[is_null[which]] = pd.NA
+            return pd.DataFrame(
+                {"is_add": is_add, "name": key[0], "total": values, "seq": seq[which]}
+            )
+
+        self.total.update((int(sums[-1]), bool(filled[-1])))
+        yield pd.concat(
+            [rows_of(retract, before, ~before_filled, False), rows_of(add, sums, ~filled, True)],
+            ignore_index=True,
+        )
 
     def close(self) -> None:
         pass
 
 
-def _run(grouped, processor: StatefulProcessor, time_mode: str) -> DataFrame:
-    return grouped.transformWithStateInPandas(
+def _run(rows: DataFrame, key: str, processor: StatefulProcessor, time_mode: str) -> DataFrame:
+    ship_package(rows.sparkSession)  # the processors are pickled by name
+    return rows.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.OUTPUT,
         outputMode="Append",
@@ -225,33 +295,35 @@ def _run(grouped, processor: StatefulProcessor, time_mode: str) -> DataFrame:
     )
 
 
-def _topic_rows(records: DataFrame, key: str) -> DataFrame:
+def _topic_rows(records: DataFrame, key: str, *more: str) -> DataFrame:
     return records.select(
         F.col(key).alias("trade_id"),
         "msg_id",
         "status_code",
         epoch_micros(F.col("create_time")).alias("at_us"),
         "seq",
+        *more,
     )
 
 
 def correlate_by_state(records: DataFrame, ttl_ms: int, key: str = KEY) -> DataFrame:
     """State with a time to live in processing time."""
-    grouped = _topic_rows(records, key).groupBy("trade_id")
-    return _run(grouped, MessageMemory(ttl_ms), "ProcessingTime")
+    return _run(_topic_rows(records, key), "trade_id", MessageMemory(ttl_ms), "ProcessingTime")
 
 
 def correlate_by_event_state(records: DataFrame, ttl_ms: int, key: str = KEY) -> DataFrame:
-    """State with a time to live in event time."""
-    return _run(_topic_rows(records, key).groupBy("trade_id"), EventMemory(ttl_ms), "None")
+    """State with a time to live in event time. ``records`` need a watermark on
+    ``create_time``; rows behind it are dropped as late."""
+    rows = _topic_rows(records, key, "create_time")
+    return _run(rows, "trade_id", EventMemory(ttl_ms), "EventTime")
 
 
 def processing_windows(
     records: DataFrame, length_ms: int, session: bool = False, key: str = KEY
 ) -> DataFrame:
     """Windows in processing time, in the form the pair functions take."""
-    grouped = _topic_rows(records, key).groupBy("trade_id")
-    found = _run(grouped, ProcessingWindows(length_ms, session), "ProcessingTime")
+    processor = ProcessingWindows(length_ms, session)
+    found = _run(_topic_rows(records, key), "trade_id", processor, "ProcessingTime")
 
     def entry(column: str, field: str) -> Column:
         return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias(field)))
@@ -272,10 +344,16 @@ def processing_windows(
 
 def entry_history(records: DataFrame) -> DataFrame:
     rows = records.select("msg_id", "status_code", "seq")
-    return _run(rows.groupBy("msg_id"), EntryHistory(), "None")
+    return _run(rows, "msg_id", EntryHistory(), "None")
 
 
 def sum_changes(records: DataFrame) -> DataFrame:
     """Changelog of ``sum(score)`` per ``name``; ``seq`` orders a micro-batch."""
-    rows = records.select("name", F.col("score").cast("bigint").alias("score"), "seq")
-    return _run(rows.groupBy("name"), SumChanges(), "None")
+    score = F.col("score").cast("bigint")
+    rows = records.select(
+        "name",
+        F.coalesce(score, F.lit(0).cast("bigint")).alias("score"),
+        score.isNotNull().alias("has_score"),
+        "seq",
+    )
+    return _run(rows, "name", SumChanges(), "None")
