@@ -27,10 +27,13 @@ from tokenizers import Tokenizer
 from tidematch.llm.common import map_batches
 from tidematch.session import ship_package
 
-#: Pieces in each of two memories of a worker; beyond it the older one goes.
-REMEMBERED = 250_000
-#: Pieces of a text that are looked up, and so pass one pair index, at once.
-PIECES = 300_000
+#: Pieces in each of two memories of a worker, and bytes of pieces learned for
+#: one; beyond either the older memory goes.
+REMEMBERED = 100_000
+REMEMBERED_BYTES = 8 << 20
+#: Bytes of texts, about, whose pieces are looked up, and so pass one pair index, at once.
+SLAB = 1 << 21
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: The byte alphabet spells bytes as characters below this code.
 LETTERS = 512
 PRINTABLE = re.compile(r"[!-~]+")
@@ -165,6 +168,7 @@ class Codec:
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.known = Memory({})
+        self.known_bytes = 0
         self.words: dict[str, bytes] = {}
 
     def _words(self, piece: str) -> list[str]:
@@ -209,25 +213,27 @@ class Codec:
         """Packed ids of these pieces in order."""
         lacking = set(pieces) - self.known.keys() - self.known.old.keys()
         if lacking:
-            if len(self.known) + len(lacking) > REMEMBERED:
+            more = sum(map(len, lacking))
+            if len(self.known) + len(lacking) > REMEMBERED or self.known_bytes + more > REMEMBERED_BYTES:
                 self.known = Memory(self.known)
+                self.known_bytes = 0
                 self.words.clear()
                 lacking = set(pieces) - self.known.old.keys()
+                more = sum(map(len, lacking))
+            self.known_bytes += more
             self._learn(list(lacking))
         return b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [(t or "").encode().split() for t in texts]  # bytes part at ASCII white space
         out: list[bytes] = []
-        for start, end in _spans(cut):
-            if end == start + 1:
-                whole = cut[start]
-                slices = range(0, len(whole), PIECES)
-                out.append(b"".join(self._ids(whole[k : k + PIECES]) for k in slices))
+        for run in _runs(texts):
+            if len(run) == 1:
+                out.append(b"".join([self._ids(slab.split()) for slab in _slabs(run[0])]))
             else:
-                self._ids([p for pieces in cut[start:end] for p in pieces])
-                out += [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut[start:end]]
+                cut = [t.split() for t in run]  # bytes part at ASCII white space
+                self._ids([p for pieces in cut for p in pieces])
+                out += [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
         return out
 
 
@@ -264,17 +270,30 @@ def _printable_splitter(spec: dict) -> re.Pattern | None:
     return None if "\\" in pattern else re.compile(pattern)
 
 
-def _spans(cut: list[list[bytes]]):
-    """(start, end) of runs of texts with about ``PIECES`` pieces together; a
-    longer text is a run of its own."""
-    start, held = 0, 0
-    for k, pieces in enumerate(cut):
-        if k > start and held + len(pieces) > PIECES:
-            yield start, k
-            start, held = k, 0
-        held += len(pieces)
-    if start < len(cut):
-        yield start, len(cut)
+def _runs(texts: list[str | None]):
+    """Runs of texts in UTF-8, about ``SLAB`` bytes together; a longer one alone."""
+    run: list[bytes] = []
+    held = 0
+    for text in texts:
+        raw = (text or "").encode()
+        if run and held + len(raw) > SLAB:
+            yield run
+            run, held = [], 0
+        run.append(raw)
+        held += len(raw)
+    if run:
+        yield run
+
+
+def _slabs(raw: bytes):
+    """A text in parts of about ``SLAB`` bytes that end before white space."""
+    start = 0
+    while start < len(raw):
+        end = start + SLAB
+        space = SPACE.search(raw, end) if end < len(raw) else None
+        end = space.start() if space else len(raw)
+        yield raw[start:end]
+        start = end
 
 
 _built: dict[tuple[type, str], Codec | Decoder] = {}
@@ -310,7 +329,6 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         docs.select(F.col(key), F.col(text)),
         make,
         f"`{key}` {kind}, n_tokens long, ids binary",
-        rows_at_once=2_000,
     )
 
 
@@ -332,3 +350,25 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         make,
         f"`{key}` {kind}, n_tokens long, ids binary, decoded string",
     )
+
+
+def recode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``decode`` gives for the rows of ``encode``, in one pass through one
+    worker: (key, n_tokens, ids, decoded) for every row of ``docs``."""
+    ship_package(docs.sparkSession)
+
+    def make():
+        coder, decoder = built(Codec, path), built(Decoder, path)
+
+        def call(columns):
+            packed = coder.encode(columns[1])
+            return [(k, len(p) // 4, p, decoder.decode(p)) for k, p in zip(columns[0], packed)]
+
+        return call
+
+    kind = dict(docs.dtypes)[key]
+    return map_batches(
+        docs.select(F.col(key), F.col(text)),
+        make,
+        f"`{key}` {kind}, n_tokens long, ids binary, decoded string",
+    )

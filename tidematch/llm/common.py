@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,10 @@ from tidematch.session import work_dir
 
 #: Space and the control characters from tab to carriage return part words.
 GAP = r"[\x20\x09-\x0D]+"
-#: Rows that a Python operator returns to Spark at once.
+#: Rows that a Python operator handles and returns to Spark at once, and bytes of
+#: text in them; a longer text comes alone.
 ROWS_OUT = 500
+BYTES_OUT = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +70,8 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, rows_at_once):
-                part = batch.slice(start, rows_at_once)
+            for start, stop in _parts(batch, rows_at_once):
+                part = batch.slice(start, stop - start)
                 rows = call([c.to_pylist() for c in part.columns])
                 columns = list(zip(*rows)) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays(
@@ -77,6 +81,22 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def _parts(batch: pa.RecordBatch, rows_at_once: int) -> Iterator[tuple[int, int]]:
+    """Bounds of parts of a batch, limited in rows and in bytes of text."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + BYTES_OUT, side="right"))
+        stop = max(start + 1, min(stop, start + rows_at_once))
+        yield start, stop
+        start = stop
+
+
 def _arrow_type(name: str) -> pa.DataType:
     if name.startswith("array<"):
         return pa.list_(_arrow_type(name[6:-1]))

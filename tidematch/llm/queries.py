@@ -89,7 +89,7 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens and their decoded text, as digests."""
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
+    coded = bpe.recode(table(spark, sf_dir, "documents"), VOCABULARY)
     return coded.select(
         "doc_id",
         "n_tokens",
