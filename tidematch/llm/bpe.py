@@ -29,8 +29,8 @@ from tidematch.session import ship_package
 
 #: Pieces in each of two memories of a worker, and bytes of pieces learned for
 #: one; beyond either the older memory goes.
-REMEMBERED = 100_000
-REMEMBERED_BYTES = 8 << 20
+REMEMBERED = 250_000
+REMEMBERED_BYTES = 16 << 20
 #: Bytes of texts, about, whose pieces are looked up, and so pass one pair index, at once.
 SLAB = 1 << 21
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
