@@ -67,7 +67,8 @@ def stream_state_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_event_ttl(spark: SparkSession, sf: str) -> DataFrame:
-    paired = keyed.correlate_by_event_state(_topics(spark, sf), TTL_S * 1000)
+    records = watermarks.bounded_disorder(_topics(spark, sf), "0 seconds")
+    paired = keyed.correlate_by_event_state(records, TTL_S * 1000)
     return _to_files(spark, paired, "event-ttl")
 
 
@@ -75,7 +76,7 @@ def stream_ttl(spark: SparkSession, sf: str) -> DataFrame:
     """Time to live in processing time: the query does not end by itself."""
     paired = keyed.correlate_by_state(_topics(spark, sf), 600_000)
     folder = work_dir(spark, "ttl")
-    jobs.run_until_idle(jobs.file_writer(paired, f"{folder}/rows", f"{folder}/checkpoint"))
+    jobs.run_until_used_up(jobs.file_writer(paired, f"{folder}/rows", f"{folder}/checkpoint"))
     return spark.read.schema(paired.schema).parquet(f"{folder}/rows")
 
 
@@ -85,7 +86,7 @@ def stream_processing_windows(spark: SparkSession, sf: str) -> DataFrame:
     found = keyed.processing_windows(_topics(spark, sf), 1000, session=True)
     folder = work_dir(spark, "processing")
     writer = jobs.file_writer(found, f"{folder}/rows", f"{folder}/checkpoint")
-    jobs.run_until_idle(writer, idle_s=6)
+    jobs.run_until_used_up(writer, drain=True)
     rows = spark.read.schema(found.schema).parquet(f"{folder}/rows")
     return rows.groupBy("trade_id").agg(F.sum("records").alias("records"))
 
@@ -185,15 +186,12 @@ def stream_routes(spark: SparkSession, sf: str) -> DataFrame:
     named = shape.pick(parts, {"p_partkey": "id", "p_name": "name"})
     routed = route.route(named, F.col("name").startswith("r"))
     folder = work_dir(spark, "routes")
-
-    def writer(name: str) -> Callable[[DataFrame], None]:
-        return lambda df: df.write.mode("append").parquet(f"{folder}/{name}")
-
-    write = route.write_routes({n: writer(n) for n in (route.MAIN, route.SIDE)})
+    names = (route.MAIN, route.SIDE)
+    write = route.write_routes({n: jobs.write_batch(f"{folder}/{n}") for n in names})
     jobs.run_available(jobs.batch_writer(routed, write, f"{folder}/checkpoint"))
     outputs = [
-        spark.read.parquet(f"{folder}/{n}").withColumn("route", F.lit(n))
-        for n in (route.MAIN, route.SIDE)
+        spark.read.parquet(f"{folder}/{n}").drop("batch_id").withColumn("route", F.lit(n))
+        for n in names
     ]
     return outputs[0].unionByName(outputs[1])
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 FIELD_SEPARATOR = "\x01"
 # What a micro-batch takes of a table, so also the most that one key holds of it.
-BYTES_PER_TRIGGER = "512m"
+BYTES_PER_TRIGGER = 512 << 20
 
 
 def file_system(spark: SparkSession, path: str):
@@ -54,7 +54,7 @@ def spread_scan(df: DataFrame) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, bytes_per_trigger: str = BYTES_PER_TRIGGER
+    spark: SparkSession, folder: str, name: str, bytes_per_trigger: int = BYTES_PER_TRIGGER
 ) -> DataFrame:
     """Stream the Parquet table ``folder/name.parquet``, a file or a folder of
     files. ``bytes_per_trigger`` bounds what one micro-batch may hold; a single

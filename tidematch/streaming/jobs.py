@@ -92,6 +92,14 @@ def run_until_used_up(
     return query
 
 
+def run_until_idle(
+    writer: DataStreamWriter, idle_s: float = 0.0, timeout_s: float | None = None
+) -> StreamingQuery:
+    """The earlier name of ``run_until_used_up``. No time decides any more: an
+    ``idle_s`` above zero, once the wait for timers, stands for ``drain``."""
+    return run_until_used_up(writer, drain=idle_s > 0, timeout_s=timeout_s)
+
+
 def write_batch(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function whose repeat after a failure replaces the
     micro-batch's rows instead of adding them again."""

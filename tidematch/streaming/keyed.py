@@ -133,9 +133,7 @@ class EventMemory(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.memory.clear()
-        yield pd.DataFrame({"trade_id": [], "seq": [], "msg_id": [], "status_code": []}).astype(
-            {"seq": "int64"}
-        )
+        yield from ()
 
     def close(self) -> None:
         pass
