@@ -79,3 +79,17 @@ def test_a_host_that_points_at_blocked_ones_is_blocked(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in urls.judge(pages).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
+def test_scores_reach_the_end_of_a_long_chain_from_a_small_seed(spark):
+    """With the rounds and the limit of production: more than 20 links, and a seed
+    as small as among very many."""
+    names = [f"h{i}" for i in range(24)]
+    edges = list(zip(names[1:], names))  # distrust goes against the links
+    edges += [("x", "h0"), ("h0", "x")]
+    seed = 1e-9
+    start = spark.createDataFrame([("h0", "distrust", seed)], "host string, kind string, seed double")
+    table = spark.createDataFrame(edges, "src string, dst string")
+    got = {r["host"]: r["score"] for r in urls.propagate(table, start).collect()}
+    wanted = pagerank([(b, a) for a, b in edges], {"h0": seed})
+    assert got == {h: pytest.approx(v, rel=1e-5) for h, v in wanted.items()}

@@ -8,18 +8,23 @@ those that point at them. A host with more distrust than trust is blocked.
 
 from __future__ import annotations
 
+from itertools import count, islice
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidematch.llm.common import stored
+from tidematch.session import work_dir
+from tidematch.sources.files import file_system
 
 #: Share of a score that follows links.
 DAMPING = 0.85
-ROUNDS = 20
-#: Rounds end early when no score moves by more.
-SETTLED = 1e-9
+#: Rounds at most; None for as many as it takes until the scores settle.
+ROUNDS = None
+#: Rounds end when no score moves by more than this share of itself. A host that
+#: is reached for the first time moves by all of its score.
+SETTLED = 1e-6
 #: A host is blocked when distrust is more than this share of trust and distrust.
 BLOCK_SHARE = 0.5
 #: Rules fit by these; a rule is (verdict, host, path).
@@ -102,7 +107,13 @@ def seeds(rows: DataFrame) -> DataFrame:
 
 def propagate(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(host, kind, score) after personalised PageRank, trust along the edges and
-    distrust against them. Each round is written to the shared folder."""
+    distrust against them. Each round is written to the shared folder in place of
+    the one before.
+
+    What a round adds to a host follows from what the one before added to its
+    neighbours; once no score moves by more than ``SETTLED`` of itself, none ever
+    will, and no further host is reached. The size of the graph has no part in it.
+    """
     directed = edges.select(F.lit("trust").alias("kind"), "src", "dst").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src"))
     )
@@ -110,21 +121,28 @@ def propagate(edges: DataFrame, start: DataFrame) -> DataFrame:
     directed = stored(directed.join(degrees, ["kind", "src"]), "url-edges")
     base = start.select("host", "kind", ((1 - DAMPING) * F.col("seed")).alias("score"))
     base = stored(base, "url-base")
-    scores = base
-    for _ in range(ROUNDS):
+    spark = edges.sparkSession
+    scores, written = base, None
+    for _ in islice(count(), ROUNDS):
         moved = (
             directed.join(scores.withColumnRenamed("host", "src"), ["kind", "src"])
             .select(F.col("dst").alias("host"), "kind", (DAMPING * F.col("score") / F.col("degree")).alias("score"))
         )
         new = base.union(moved).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        new = stored(new, "url-round")
+        path = work_dir(spark, "llm/url-round")
+        new.write.parquet(path)
+        new = spark.read.schema(new.schema).parquet(path)
         change = (
             new.alias("n")
-            .join(scores.alias("o"), ["host", "kind"], "full")
-            .agg(F.max(F.abs(F.coalesce("n.score", F.lit(0.0)) - F.coalesce("o.score", F.lit(0.0)))))
+            .join(scores.alias("o"), ["host", "kind"], "left")
+            .filter("n.score > 0")
+            .agg(F.max((F.col("n.score") - F.coalesce("o.score", F.lit(0.0))) / F.col("n.score")))
             .first()[0]
         )
-        scores = new
+        if written is not None:
+            files, location = file_system(spark, written)
+            files.delete(location, True)
+        scores, written = new, path
         if not change or change <= SETTLED:
             break
     return scores
