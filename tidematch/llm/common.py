@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidematch.session import work_dir
 
@@ -81,6 +82,34 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def with_columns_of(
+    df: DataFrame,
+    column: str,
+    make: Callable[[], Callable[[list], list[tuple]]],
+    added: str,
+    rows_at_once: int = ROWS_OUT,
+) -> DataFrame:
+    """``df`` with the columns ``added``, which a Python function makes of the values
+    of ``column``, a row for each. The other columns stay in Arrow as they come, of
+    whatever type they are."""
+    new = df.sparkSession.createDataFrame([], added)
+    own, place = df.columns, df.columns.index(column)
+    kinds = [_arrow_type(t) for _, t in new.dtypes]
+    names = [*own, *new.columns]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in [*df.schema, *new.schema]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = make()
+        for batch in batches:
+            for start, stop in _parts(batch, rows_at_once):
+                part = batch.slice(start, stop - start)
+                made = zip(*call(part.column(place).to_pylist()))
+                columns = [pa.array(c, type=t) for c, t in zip(made, kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def _parts(batch: pa.RecordBatch, rows_at_once: int) -> Iterator[tuple[int, int]]:
     """Bounds of parts of a batch, limited in rows and in bytes of text."""
     sizes = np.zeros(batch.num_rows, np.int64)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidematch.llm.common import map_batches
+from tidematch.llm.common import map_batches, with_columns_of
 from tidematch.session import ship_package
 
 #: Bytes in a window.
@@ -258,18 +258,9 @@ def with_language(
     """``docs`` with two more columns, named ``pred`` and ``score``. The rows pass
     the network as they are, so nothing is joined."""
     ship_package(docs.sparkSession)
-    own = docs.columns
-    place = own.index(text)
 
     def make():
         model = Predictor(net)
+        return lambda texts: [tuple(p) for p in model.predict(texts)]
 
-        def call(columns):
-            found = model.predict(columns[place])
-            return [(*row, *p) for row, p in zip(zip(*columns), found)]
-
-        return call
-
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + [f"`{pred}` string", f"`{score}` double"])
-    return map_batches(docs.select(*[f"`{c}`" for c in own]), make, schema)
+    return with_columns_of(docs, text, make, f"`{pred}` string, `{score}` double")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidematch.llm.common import fresh, map_batches, stored
+from tidematch.llm.common import fresh, map_batches, stored, with_columns_of
 from tidematch.llm.components import components
 from tidematch.session import ship_package
 
@@ -230,19 +230,12 @@ def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     fingerprint one stays. The columns are those of ``docs``.
     """
     ship_package(docs.sparkSession)
-    own = docs.columns
-    place = own.index(text)
     fp = fresh(docs, "fp")
 
     def make():
-        def call(columns):
-            return [(*row, _signed(fingerprint(row[place]))) for row in zip(*columns)]
-
-        return call
+        return lambda texts: [(_signed(fingerprint(t)),) for t in texts]
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in own] + [f"`{fp}` long"])
-    marked = stored(map_batches(docs, make, schema), "simhash-marked")
+    marked = stored(with_columns_of(docs, text, make, f"`{fp}` long"), "simhash-marked")
     found = groups(marked.select(F.col(key).alias("k"), F.col(fp).alias("fp")), "k", of_root=True)
     order = F.struct(F.col("k").isNull().alias("none"), "k", "fp")
     winners = found.groupBy("root").agg(F.min(order).alias("w")).select("w.k", "w.fp")
