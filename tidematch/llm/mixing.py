@@ -4,7 +4,8 @@ Each source has a target in words. Every document of it is taken as often as the
 target holds the whole source; for the words that are left each document has an
 inclusion probability, and documents are ranked by the odds of a random number
 divided by the odds of that probability. The lowest ranks are taken up to the
-words wanted, so the sample has a fixed size.
+words wanted, so the sample has a fixed size. The probabilities are equal within
+a source, whatever a document's size: the order there is that of the random numbers.
 
 Where the ranking stops is found from counts: the ranks are dealt into buckets,
 the bucket that holds the limit into smaller ones, and only the documents of one
