@@ -76,3 +76,17 @@ def test_rows(odd_docs):
     rows = pii.spans(odd_docs).collect()
     assert len(rows) == len(ODD_TEXTS) and all(r["found"] == [] for r in rows)
     assert pii.spans(odd_docs.limit(0)).count() == 0
+
+
+def test_spelled_addresses_of_any_end_and_length():
+    names = [f"jane at firm dot {end}" for end in ("kr", "gr", "tr", "za", "online", "me", "museum", "COM")]
+    names.append("a dot b dot c dot d dot e dot f dot g at firm dot com")
+    names.append("jane at a dot b dot c dot d dot e dot f dot g dot h dot com")
+    for name in names:
+        assert ("email", name) in added(f"write {name}, please"), name
+    assert added("look at this dot nowhere") == []
+
+
+def test_long_rows_of_spelled_parts_take_linear_time():
+    for part in ("x dot ", "x.", "x at ", "x at y dot "):
+        pii.find("say dot on " + part * 30_000)

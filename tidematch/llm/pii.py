@@ -17,6 +17,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 
 from tidematch.llm.common import map_batches
+from tidematch.llm.toplevel import TOP_LEVEL
 from tidematch.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone")
@@ -127,10 +128,7 @@ INVISIBLE = "­​‌‍⁠﻿"
 AT_WORDS = ("at", "arroba", "arobase", "ät")
 DOT_WORDS = ("dot", "punto", "punkt", "point")
 #: A host that is spelled out must end in one of these.
-HOST_ENDS = frozenset(
-    "com org net edu gov mil info biz io ai dev app co uk ie de at ch fr be nl lu es it pt eu us ca "
-    "au nz in jp cn br mx ar cl ru pl cz se no dk fi example test".split()
-)
+HOST_ENDS = TOP_LEVEL | {"example", "test"}
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
     "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -155,9 +153,11 @@ _BRACKETED = re.compile(
     rf"\s*[\[({{<]\s*(?:(@|{'|'.join(AT_WORDS)})|(\.|{'|'.join(DOT_WORDS)}))\s*[\])}}>]\s*", re.I
 )
 _AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
+# Names of any number of parts. One that no at follows is passed as a whole, so a
+# long row of parts is read once; a match with group 1 is an address.
 _SPELLED_MAIL = re.compile(
-    rf"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9_%+-]*(?:(?:\.|\s+(?:{_DOT})\s+)[A-Za-z0-9_%+-]+){{0,4}}"
-    rf"(?:\s+(?:{_AT})\s+|\s*@\s*)[A-Za-z0-9-]+(?:(?:\.|\s+(?:{_DOT})\s+)[A-Za-z0-9-]+){{1,5}}(?!\w)",
+    rf"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9_%+-]*+(?:(?:\.|\s+(?:{_DOT})\s+)[A-Za-z0-9_%+-]++)*+"
+    rf"((?:\s+(?:{_AT})\s+|\s*@\s*)[A-Za-z0-9-]+(?:(?:\.|\s+(?:{_DOT})\s+)[A-Za-z0-9-]+)+(?!\w))?",
     re.I,
 )
 _DOT_WORD = re.compile(rf"\s(?:{_DOT})\s", re.I)
@@ -214,6 +214,8 @@ def spelled_signs(text: str) -> list[tuple[int, int, str]]:
         return out
     for shape in (_SPELLED_MAIL, _SPELLED_HOST):
         for m in shape.finditer(text):
+            if shape is _SPELLED_MAIL and not m[1]:
+                continue
             signs = list(_WORD_SIGN.finditer(m[0]))
             if not signs or not signs[-1][2]:
                 continue  # what follows the at is written plainly: prose
