@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidematch.session import work_dir
+from tidematch.sources.files import file_system
 
 #: Space and the control characters from tab to carriage return part words.
 GAP = r"[\x20\x09-\x0D]+"
@@ -33,6 +34,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """The stored steps of one run of an operator. Each is dropped by name as soon
+    as what was made of it is written; the last one, which the result reads, stays."""
+
+    def __init__(self, spark: SparkSession, operator: str):
+        self.spark = spark
+        self.root = work_dir(spark, f"llm/{operator}")
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as the step ``name`` and read again."""
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            files, location = file_system(self.spark, f"{self.root}/{name}")
+            files.delete(location, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidematch.llm import ann, bpe, html, langid, linededup, mixing, pii, quality, simhash, urls
+from tidematch.llm import (
+    ann,
+    bpe,
+    centroids,
+    divergence,
+    html,
+    langid,
+    linededup,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    urls,
+)
 from tidematch.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -110,6 +124,28 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select(
+        "doc_id",
+        F.coalesce(toxicity.remainder() == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after five rounds on whole numbers."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and its telling terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality": op2_quality,
@@ -121,5 +157,14 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_langid": op10_langid,
+    "op11_toxicity": op11_toxicity,
+    "op12_centroids": op12_centroids,
+    "op13_divergence": op13_divergence,
+}
+SQL = {
+    "op2_quality": quality.SQL,
+    "op5_lines": linededup.SQL,
+    "op6_mixing": mixing.SQL,
+    "op12_centroids": centroids.SQL,
+    "op13_divergence": divergence.SQL,
 }
-SQL = {"op2_quality": quality.SQL, "op5_lines": linededup.SQL, "op6_mixing": mixing.SQL}
