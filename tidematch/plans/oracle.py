@@ -49,16 +49,21 @@ def _distance(lat: str = "u.lat", lng: str = "u.lng") -> str:
     )
 
 
-def _pairs(lat: str = "u.lat", lng: str = "u.lng", extra: str = "true") -> str:
-    return f"""pairs AS (
-  SELECT r.*, u.cert_type, u.cert_nbr, {_distance(lat, lng)} AS distance_m
-  FROM requests r JOIN users u
-    ON {_distance(lat, lng)} < CAST(r.store_range AS DOUBLE) AND {extra})"""
-
-
-COUNTS = """counts AS (
-  SELECT r.unique_req_id, count(p.cert_nbr) AS n FROM requests r
-  LEFT JOIN pairs p ON p.unique_req_id = r.unique_req_id GROUP BY r.unique_req_id)"""
+def _pairs(lat: str = "u.lat", lng: str = "u.lng", extra: str = "true", banded: bool = True) -> str:
+    """Requests and users in range, made once. No range exceeds 20 km, so with ``banded``
+    users meet the requests of their own fifth of a degree and of its neighbours only."""
+    bands = "(VALUES (-1), (0), (1)) AS bands(band)" if banded else "(VALUES (0)) AS bands(band)"
+    near = f"floor({lat} * 5) = floor(r.slat * 5) + band" if banded else "true"
+    return f"""pairs AS MATERIALIZED (
+  SELECT * EXCLUDE (band) FROM (
+    SELECT r.*, u.cert_type, u.cert_nbr, band, {_distance(lat, lng)} AS distance_m
+    FROM (SELECT * FROM requests CROSS JOIN {bands}) r JOIN users u ON {near} AND {extra})
+  WHERE distance_m < CAST(store_range AS DOUBLE))"""
+
+
+COUNTS = """counts AS MATERIALIZED (
+  SELECT unique_req_id, coalesce(n, 0) AS n FROM requests LEFT JOIN (
+    SELECT unique_req_id, count(*) AS n FROM pairs GROUP BY unique_req_id) USING (unique_req_id))"""
 
 RECORDS = """records AS (
   SELECT p.coupon_id, '02' AS message_type, CAST(c.n AS VARCHAR) AS coupon_send_num,
@@ -187,6 +192,7 @@ SQL: dict[str, str] = {
         _pairs(
             "CASE WHEN r.num % 60 % 2 = 0 THEN u.lat ELSE u.lat_night END",
             "CASE WHEN r.num % 60 % 2 = 0 THEN u.lng ELSE u.lng_night END",
+            banded=False,
         ),
         select="""SELECT unique_req_id, CAST(num % 60 % 2 AS VARCHAR) AS period,
   cert_nbr AS id_number, distance_m FROM pairs""",
