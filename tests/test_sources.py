@@ -145,3 +145,24 @@ def test_topic_options():
     by_time = kafka.source_options("host:1", "a", start_timestamp_ms=7, min_partitions=3)
     assert by_time["startingTimestamp"] == "7" and "startingOffsets" not in by_time
     assert by_time["minPartitions"] == "3"
+
+
+def test_a_file_written_in_place_makes_its_partition_the_latest(spark, tmp_path):
+    """Folders' times do not change, names with special characters do not matter."""
+    path = f"{tmp_path}/users"
+    rows = fixtures.user_location(spark).select("cert_nbr").coalesce(1)
+    for value in ("20220207", "2022 02/10", "20220218"):
+        tables.write_partitioned(rows.withColumn("partstart", F.lit(value)), path)
+        time.sleep(0.05)
+    assert partitions.latest_by_write_time(spark, path) == "20220218"
+    folder = next(p for p in (tmp_path / "users").iterdir() if "02%2F10" in p.name)
+    before = folder.stat().st_mtime_ns
+    file = next(folder.glob("*.parquet"))
+    with file.open("r+b") as open_file:
+        data = open_file.read()
+        open_file.seek(0)
+        open_file.write(data)
+    assert folder.stat().st_mtime_ns == before
+    assert partitions.latest_by_write_time(spark, path) == "2022 02/10"
+    assert partitions.latest_partition(spark, path, "create-time").count() == rows.count()
+    assert set(partitions.newest_files(spark, path)) == {"20220207", "2022 02/10", "20220218"}

@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidematch.operators.sizes import kept
+
 MAIN, SIDE = "main", "side"
 ITEM, ITEM_COPY, COUNT = "item", "item_copy", "count"
 
@@ -48,11 +50,8 @@ def write_routes(writers: Mapping[str, Callable[[DataFrame, int], None]]) -> Cal
     ``jobs.write_batch`` replace what an earlier try of the batch wrote."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with kept(batch, "routed") as rows:
             for name, writer in writers.items():
-                writer(taken(batch, name), batch_id)
-        finally:
-            batch.unpersist()
+                writer(taken(rows, name), batch_id)
 
     return write

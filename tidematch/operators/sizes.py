@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidematch.session import checkpoint_root
+from tidematch.session import checkpoint_root, work_dir
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 << 20
@@ -42,6 +44,20 @@ def shared(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *df.columns)
 
 
+@contextmanager
+def kept(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The rows stored in the shared work folder while they are in use, for several
+    consumers; the files go afterwards."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Keep the rows in the shared checkpoint folder, so that several consumers
     read them instead of computing them again and a lost executor costs none."""

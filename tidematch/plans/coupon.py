@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidematch.functions.jsontext import not_empty, to_text
 from tidematch.operators import geojoin
-from tidematch.operators.sizes import cut_lineage, shared
+from tidematch.operators.sizes import cut_lineage, kept, shared
 from tidematch.schemas import (
     COUPON_REQUEST_FIELDS,
     COUPON_REQUEST_JSON,
@@ -166,11 +166,8 @@ def coupon_batch(
     latest at its time."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with kept(batch, "requests") as requests:
             users = latest_users(batch.sparkSession)
-            write(coupon_match(batch, users, equal), batch_id)
-        finally:
-            batch.unpersist()
+            write(coupon_match(requests, users, equal), batch_id)
 
     return run

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidematch.functions.jsontext import to_text
-from tidematch.functions.timetext import SECONDS
+from tidematch.functions.timetext import SECONDS, epoch_micros
 from tidematch.plans.coupon import parse_requests
 from tidematch.session import use_utc, work_dir
 from tidematch.sources.files import spread_scan, table_stream
@@ -91,6 +91,25 @@ def topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_records(table_stream(spark, sf_dir, "events"))
 
 
+ROUNDS = 4
+# Of the records of a slice of time, those with this remainder come one round later.
+LATE_OF, LATE = 7, 3
+
+
+def topic_rounds(spark: SparkSession, sf_dir: str) -> tuple[list[DataFrame], int]:
+    """The records as they are delivered, in ``ROUNDS`` slices of time and a last
+    round, and the length of a slice in seconds. Every seventh record comes one round
+    late, so up to a slice behind the latest one."""
+    records = topics(spark, sf_dir)
+    micros = epoch_micros(F.col("create_time"))
+    low, high = records.agg(F.min(micros), F.max(micros)).first()
+    slice_s = (high - low) // (ROUNDS * 1_000_000) + 1 if low is not None else 1
+    number = F.floor((micros - F.lit(low)) / (slice_s * 1_000_000))
+    late = (F.col("seq") % LATE_OF == LATE).cast("int")
+    rounds = [records.where(number + late == k) for k in range(ROUNDS + 1)]
+    return rounds, slice_s
+
+
 def topic_lines(records: DataFrame) -> DataFrame:
     """Topic records as message text."""
     return records.select(

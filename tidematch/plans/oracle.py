@@ -391,3 +391,93 @@ GROUP BY trade_id, window_start""",
 ORDER BY cnt DESC, o_custkey LIMIT 1""",
     "stream_resume": "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type",
 }
+
+# Queries whose input comes in rounds: slices of time, with every seventh record one
+# round late. A delay of one slice drops nothing, half a slice does.
+_ROUNDS, _LATE_OF, _LATE = 4, 7, 3
+_DELIVERED = f"""span AS (
+  SELECT min(us) AS low, max(us) // 1000 AS high_ms, (max(us) - min(us)) // {_ROUNDS * 1_000_000} + 1 AS slice_s
+  FROM topics),
+delivered AS (
+  SELECT topics.*, (us - low) // (slice_s * 1000000)
+    + CASE WHEN seq % {_LATE_OF} = {_LATE} THEN 1 ELSE 0 END AS round, high_ms - slice_s * 1000 AS closed_ms
+  FROM topics, span)"""
+
+_FINAL_MS = "(SELECT high_ms - slice_s * 1000 FROM span)"
+
+# The watermark before a round, with a delay of two quarters of a slice; a window is
+# late when it ends at or before it.
+_LATE_ROUNDS = f"""marks AS (
+  SELECT k, (SELECT max(us) // 1000 FROM delivered WHERE round < k) - 2000 * (slice_s // 4) AS mark
+  FROM span, range({_ROUNDS + 1}) r(k)),
+placed AS (
+  SELECT *, us // {_WINDOW_US} * {_WINDOW_US} AS window_start FROM delivered),
+judged AS (
+  SELECT placed.*, coalesce((window_start + {_WINDOW_US}) // 1000 <= mark, false) AS late
+  FROM placed JOIN marks ON k = round)"""
+
+SQL |= {
+    "stream_session_join": _with(
+        TOPICS,
+        _DELIVERED,
+        _SESSIONS,
+        select=f"""SELECT m.trade_id, m.window_start AS session_start, m.window_end AS session_end,
+  m.msg_id, m.us AS message_time, s.status_code, s.us AS status_time,
+  '{{"msgId":"' || m.msg_id || '","statusCode":"' || s.status_code || '"}}' AS value
+FROM sessions m JOIN sessions s ON m.trade_id = s.trade_id AND m.no = s.no
+WHERE m.msg_id IS NOT NULL AND s.msg_id IS NULL AND m.window_end // 1000 + 1 <= {_FINAL_MS}""",
+    ),
+    "stream_join_changelog": " UNION ALL ".join(
+        f"""SELECT {k} AS round, c_custkey, c_mktsegment, count(*) AS total
+FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_custkey % 3 <= {k} AND o_orderkey % 3 <= {k}
+GROUP BY c_custkey, c_mktsegment"""
+        for k in range(3)
+    ),
+    "stream_top_changes": " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT {k} AS round, CAST(o_custkey AS VARCHAR) AS name, count(*) AS total,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) AS INTEGER) AS rank
+FROM orders WHERE o_orderkey % 3 <= {k} GROUP BY o_custkey) WHERE rank <= 3"""
+        for k in range(3)
+    ),
+    "stream_late_rounds": _with(
+        TOPICS,
+        _DELIVERED,
+        _LATE_ROUNDS,
+        select=f"""SELECT 'window' AS kind, trade_id, window_start, count(*) AS records,
+  CAST(count(DISTINCT round) AS INTEGER) AS given
+FROM judged WHERE NOT late GROUP BY trade_id, window_start
+UNION ALL
+SELECT 'late', NULL, NULL, count(DISTINCT (trade_id, window_start)) FILTER (late), CAST(k AS INTEGER)
+FROM range({_ROUNDS + 1}) r(k) LEFT JOIN judged ON round = k GROUP BY k""",
+    ),
+    "stream_resume_state": _with(
+        TOPICS,
+        _DELIVERED,
+        _BUCKETS,
+        select=f"""SELECT trade_id, window_start, count(*) AS records,
+  CASE WHEN window_end // 1000 <= {_FINAL_MS} THEN 'given' ELSE 'held' END AS place
+FROM buckets GROUP BY trade_id, window_start, window_end""",
+    ),
+    "stream_fresh_lookup": _with(
+        TOPICS,
+        _DELIVERED,
+        select="""SELECT seq, n_nationkey, n_name FROM delivered JOIN nation
+ON n_regionkey = 1 AND (round > 0 OR n_nationkey < 10)""",
+    ),
+    "stream_ttl_lives": _with(
+        TOPICS,
+        select="""SELECT s.trade_id, m.msg_id, s.status_code, 'long' AS life FROM topics s JOIN (
+  SELECT trade_id, arg_max(msg_id, (us, seq)) AS msg_id FROM topics WHERE msg_id IS NOT NULL
+  GROUP BY trade_id) m ON m.trade_id = s.trade_id WHERE s.msg_id IS NULL""",
+    ),
+    "stream_processing_tumbling": _with(
+        TOPICS,
+        _DELIVERED,
+        select="""SELECT trade_id, count(*) AS records, true AS whole_bounds FROM delivered
+WHERE round < 2 GROUP BY trade_id""",
+    ),
+    "stream_partitions": SQL["partition_all"],
+    "partition_latest_by_time": _with(
+        USERS, select=f"{_SUMMARY} WHERE partstart = '20220207' GROUP BY partstart"
+    ),
+}
