@@ -10,7 +10,7 @@ another chance ``q``.
   earlier name: the dominance skyband. Every task keeps the skyband of its terms in
   numpy, the skybands are merged the same way, and what is left is ranked exactly.
 * Pairs of sources, over all kept terms: the sources of a language are numbered and
-  cut into blocks; a tile is a pair of blocks. The rows of a term go to its tiles,
+  cut into blocks; a tile is a pair of blocks. The counts of a term go to its tiles,
   dealt out by a hash of the term as well, so no tile is one task. A task lays some
   terms of a tile out as a matrix at a time and adds up ``f`` for all of the tile's
   pairs; terms that no source of a tile has are added as one product at the end.
@@ -20,19 +20,28 @@ Everything is counted over all documents, in whole numbers.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from decimal import Decimal
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidematch.llm.common import Steps
 from tidematch.session import ship_package
 
-#: What parts terms: all of ASCII but its letters.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of UTF-8 to bytes: capital letters to small ones, what parts terms, all of
+#: ASCII but its letters, to spaces, and the rest to itself.
+SPLIT = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20
+    for b in range(256)
+)
+#: Counts that a task holds before it sends them on, and sends at once.
+HELD_COUNTS, ROWS_OUT = 500_000, 20_000
 #: A language keeps terms in at least so many of its documents.
 LEAST_DOCS = 3
 #: Chances are in parts of this.
@@ -53,34 +62,67 @@ LEAST_TASKS = 96
 
 
 def term_rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term."""
+    """(lang, source, term, n, docs): occurrences, and documents that hold the term,
+    pre-counted by each task before they are shuffled."""
     empty = F.lit("")
-    lowered = F.translate(F.coalesce(F.col(text), empty), ascii_uppercase, ascii_lowercase)
-    terms = F.array_sort(F.filter(F.split(lowered, BETWEEN), lambda t: t != ""))
-
-    def marked(sorted_: Column) -> Column:
-        def entry(t: Column, i: Column) -> Column:
-            again = F.coalesce(F.get(sorted_, i - 1) == t, F.lit(False))
-            return F.struct(t.alias("term"), F.when(again, 0).otherwise(1).alias("first"))
-
-        return F.transform(sorted_, entry)
-
     given = docs.select(
         F.coalesce(F.col(lang), empty).alias("lang"),
         F.coalesce(F.col(source), empty).alias("source"),
-        terms.alias("terms"),
-    )
-    each = given.select("lang", "source", F.explode(marked(F.col("terms"))).alias("t"))
-    return each.groupBy("lang", "source", F.col("t.term").alias("term")).agg(
-        F.count("*").alias("n"), F.sum("t.first").alias("docs")
+        F.coalesce(F.col(text), empty).alias("text"),
     )
+    table, most = SPLIT, HELD_COUNTS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, tuple[Counter, Counter]] = {}
+        held = 0
+        for batch in batches:
+            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for group, raw in zip(zip(langs, sources), batch.column(2).cast(pa.binary())):
+                terms = raw.as_py().translate(table).split()
+                if not terms:
+                    continue
+                if group not in counts:
+                    counts[group] = (Counter(), Counter())
+                n, in_docs = counts[group]
+                before = len(n)
+                n.update(terms)
+                in_docs.update(set(terms))
+                held += len(n) - before
+                if held >= most:
+                    yield from _count_rows(counts)
+                    counts, held = {}, 0
+        yield from _count_rows(counts)
+
+    ship_package(docs.sparkSession)
+    each = given.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    return each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def _count_rows(counts: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (n, in_docs) in counts.items():
+        terms = list(n)
+        for start in range(0, len(terms), ROWS_OUT):
+            some = terms[start : start + ROWS_OUT]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(some), pa.string()),
+                    pa.array([source] * len(some), pa.string()),
+                    pa.array(some, pa.binary()).cast(pa.string()),
+                    pa.array(list(map(n.__getitem__, some)), pa.int64()),
+                    pa.array(list(map(in_docs.__getitem__, some)), pa.int64()),
+                ],
+                names=["lang", "source", "term", "n", "docs"],
+            )
 
 
 def chance(n: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(PARTS * (n + 1) / (total + kept)), in decimals, so of any size."""
+    """1 + floor(PARTS * (n + 1) / (total + kept)): in longs as far as they reach, in
+    decimals beyond."""
     wide = lambda c: c.cast("decimal(20,0)")
+    plain = F.call_function("div", (n + 1) * F.lit(PARTS), total + kept)
     top = wide(n + 1) * F.lit(PARTS).cast("decimal(10,0)")
-    return (F.call_function("div", top, wide(total + kept)) + 1).cast("long")
+    large = F.call_function("div", top, wide(total + kept)).cast("long")
+    return F.when(n < (1 << 62) // PARTS, plain).otherwise(large) + 1
 
 
 def apart(p: Column, q: Column) -> Column:
@@ -91,14 +133,14 @@ def apart(p: Column, q: Column) -> Column:
 # --- the terms of a group ---------------------------------------------------------
 
 
-def skyband(n: np.ndarray, m: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
-    """Places of rows dominated by fewer than ``k`` others: those with at least the
-    row's ``n``, at most its ``m`` and an earlier name.
+def skyband(n: np.ndarray, m: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """Rows dominated by fewer than ``k`` others: those with at least the row's ``n``,
+    at most its ``m`` and an earlier ``place`` by name.
 
     A row with ``k`` dominators has ``k`` in the skyband too, so in the order of names
     each row is compared with the skyband so far.
     """
-    order = np.lexsort((names, m, n))
+    order = np.lexsort((place, m, n))
     same = np.zeros(len(order), np.int64)
     if len(order):
         # Of rows with equal counts only the first k names can stay.
@@ -106,17 +148,17 @@ def skyband(n: np.ndarray, m: np.ndarray, names: np.ndarray, k: int) -> np.ndarr
         starts = np.flatnonzero(new)
         same = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
     order = order[same < k]
-    order = order[np.argsort(names[order], kind="stable")]
+    order = order[np.argsort(place[order], kind="stable")]
     band = np.empty(0, np.int64)
     for start in range(0, len(order), AT_ONCE):
         part = order[start : start + AT_ONCE]
         above = (n[band][None] >= n[part][:, None]) & (m[band][None] <= m[part][:, None])
-        some = part[above.sum(axis=1) < k]
+        before = above.sum(axis=1)
+        some, before = part[before < k], before[before < k]
         # Among themselves, those earlier in the part count too.
         within = (n[some][None] >= n[some][:, None]) & (m[some][None] <= m[some][:, None])
-        within &= np.arange(len(some))[None] < np.arange(len(some))[:, None]
-        before = (n[band][None] >= n[some][:, None]) & (m[band][None] <= m[some][:, None])
-        band = np.r_[band, some[before.sum(axis=1) + within.sum(axis=1) < k]]
+        within &= np.tri(len(some), k=-1, dtype=bool)
+        band = np.r_[band, some[before + within.sum(axis=1) < k]]
     return band
 
 
@@ -137,30 +179,30 @@ def skybands(rows: DataFrame, k: int) -> DataFrame:
 
         def cut(group: tuple) -> list:
             """The skyband of a group's terms."""
-            terms, n, m = (np.concatenate(c) for c in zip(*held[group]))
-            band = skyband(n, m, terms, k)
-            return [terms[band], n[band], m[band]]
+            terms = pa.concat_arrays([p[0] for p in held[group]])
+            n, m = (np.concatenate([p[i] for p in held[group]]) for i in (1, 2))
+            place = np.empty(len(n), np.int64)
+            place[pc.sort_indices(terms).to_numpy()] = np.arange(len(n))  # by UTF-8
+            band = skyband(n, m, place, k)
+            return [terms.take(pa.array(band)), n[band], m[band]]
 
         def batch_of(group: tuple, part: list) -> pa.RecordBatch:
             terms, n, m = part
-            columns = [[group[0]] * len(n), [group[1]] * len(n), [t.decode() for t in terms], n, m]
-            kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, kinds)], names=names
-            )
+            given = [pa.array([name] * len(n), pa.string()) for name in group]
+            return pa.RecordBatch.from_arrays([*given, terms, pa.array(n), pa.array(m)], names=names)
 
         for batch in batches:
-            lang, source, term, n, m = batch.columns
-            ids: dict[tuple, int] = {}
-            pairs = zip(lang.to_pylist(), source.to_pylist())
-            place = np.array([ids.setdefault(pair, len(ids)) for pair in pairs])
-            terms = np.array([t.encode() for t in term.to_pylist()], dtype=object)
-            n, m = n.to_numpy(), m.to_numpy()
-            for key, number in ids.items():
-                own = place == number
+            lang, source = (c.dictionary_encode() for c in batch.columns[:2])
+            terms, n, m = batch.column(2), batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            wide = len(source.dictionary)
+            group = lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy()
+            order = np.argsort(group, kind="stable")
+            ids, starts = np.unique(group[order], return_index=True)
+            for number, own in zip(ids.tolist(), np.split(order, starts[1:])):
+                key = (lang.dictionary[number // wide].as_py(), source.dictionary[number % wide].as_py())
                 parts = held.setdefault(key, [])
-                parts.append([terms[own], n[own], m[own]])
-                waiting += int(own.sum())
+                parts.append([terms.take(pa.array(own)), n[own], m[own]])
+                waiting += len(own)
                 count = sum(len(p[1]) for p in parts)
                 if count >= most:
                     band = cut(key)
@@ -216,32 +258,47 @@ def top_terms(counted: DataFrame, groups: DataFrame, k: int) -> DataFrame:
 
 
 def tile_sums(rows: DataFrame) -> DataFrame:
-    """(lang, a, b, i, j, value, seen): sums of f over the terms of a task's rows.
+    """(lang, g, h, value, seen): sums of f over a task's terms, for pairs of sources
+    by their places.
 
-    ``rows`` (lang, a, b, spot, term, i, p) are sorted by tile, spot and term; a
-    tile's part begins with rows without a term, which give the sources' chances of
-    terms that they lack. ``i`` below SOURCES is a source of block a, others are of b.
+    ``rows`` (lang, a, b, spot, term, at) are sorted by tile and spot. ``at`` lists the
+    places and chances of the sources of blocks a and b that have the term; a tile's
+    part begins with a row without a term, which lists the chances of terms that a
+    source lacks.
     """
-    schema = "lang string, a int, b int, i int, j int, value decimal(38,0), seen long"
+    schema = "lang string, g int, h int, value decimal(38,0), seen long"
     arrow = pa.schema(
-        [("lang", pa.string()), ("a", pa.int32()), ("b", pa.int32()), ("i", pa.int32())]
-        + [("j", pa.int32()), ("value", pa.decimal128(38)), ("seen", pa.int64())]
+        [("lang", pa.string()), ("g", pa.int32()), ("h", pa.int32())]
+        + [("value", pa.decimal128(38)), ("seen", pa.int64())]
     )
-
-    sources, terms = SOURCES, TERMS
+    at_once = TERMS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, sums = None, None
+        now, tile = None, None
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for lang, a, b, spot, term, i, p in zip(*columns):
-                if (lang, a, b, spot) != tile:
-                    if sums is not None:
-                        yield sums.out(tile, arrow)
-                    tile, sums = (lang, a, b, spot), Tile(sources, terms)
-                sums.add(term, i, p)
-        if sums is not None:
-            yield sums.out(tile, arrow)
+            lang = batch.column(0).dictionary_encode()
+            ids = [lang.indices.to_numpy(), *(batch.column(c).to_numpy() for c in (1, 2, 3))]
+            starts = np.flatnonzero(np.r_[True, np.any([i[1:] != i[:-1] for i in ids], axis=0)])
+            ends = [*starts[1:], batch.num_rows]
+            for start, end in zip(starts.tolist(), ends):
+                key = (lang.dictionary[ids[0][start]].as_py(), *(int(i[start]) for i in ids[1:]))
+                part = batch.slice(start, int(end) - start)
+                if key != now:
+                    if tile is not None:
+                        yield tile.out(now[0], arrow)
+                    now, tile = key, Tile(key[1], key[2], part.column(5)[0].as_py())
+                    part = part.slice(1)
+                for first in range(0, part.num_rows, at_once):
+                    some = part.column(5).slice(first, at_once)
+                    flat = some.flatten()
+                    tile.add(
+                        np.repeat(np.arange(len(some)), some.value_lengths().to_numpy()),
+                        flat.field(0).to_numpy(),
+                        flat.field(1).to_numpy(),
+                        len(some),
+                    )
+        if tile is not None:
+            yield tile.out(now[0], arrow)
 
     ship_package(rows.sparkSession)
     return rows.mapInArrow(run, schema)
@@ -250,123 +307,104 @@ def tile_sums(rows: DataFrame) -> DataFrame:
 class Tile:
     """Sums for the pairs of two blocks of sources, over some of the terms."""
 
-    def __init__(self, sources: int, at_once: int):
-        self.sources, self.at_once = sources, at_once
-        self.absent = ({}, {})  # by side: source -> chance of a term it lacks
-        self.base = self.total = None
-        self.spots: tuple[dict, dict] = ({}, {})
-        self.seen, self.terms, self.now = 0, [], None
-
-    def add(self, term: str | None, i: int, p: int) -> None:
-        side, i = divmod(i, self.sources)
-        if term is None:
-            self.absent[side][i] = p
-            return
-        if self.now is None or term != self.now[0]:
-            if len(self.terms) == self.at_once:
-                self._flush()
-            self.now = (term, ([], []))
-            self.terms.append(self.now[1])
-            self.seen += 1
-        self.now[1][side].append((i, p))
-
-    def _lay_out(self) -> None:
-        self.base = []
-        for side in (0, 1):
-            names = sorted(self.absent[side])
-            self.spots[side].update({i: k for k, i in enumerate(names)})
-            self.base.append(np.array([self.absent[side][i] for i in names], np.int64))
-        shape = (len(self.base[0]), len(self.base[1]))
-        self.total = np.zeros(shape, np.int64)
-        self.over = np.zeros(shape, np.int64)
-
-    def _flush(self) -> None:
-        if self.base is None:
-            self._lay_out()
-        laid = []
-        for side in (0, 1):
-            matrix = np.repeat(self.base[side][None], len(self.terms), axis=0)
-            for row, sides in enumerate(self.terms):
-                for i, p in sides[side]:
-                    matrix[row, self.spots[side][i]] = p
-            laid.append(matrix)
-        for k in range(laid[0].shape[1]):
-            gap = laid[0][:, k : k + 1] - laid[1]
-            f = gap * gap // laid[1]
+    def __init__(self, a: int, b: int, absent: list[dict]):
+        lacking = sorted((r["block"], r["place"], r["p"]) for r in absent)
+        self.places = np.array([place for _, place, _ in lacking], np.int64)
+        self.base = np.array([p for *_, p in lacking], np.int64)
+        # Block a's sources come first; a tile of one block has each pair once.
+        self.first = np.flatnonzero([block == a for block, *_ in lacking])
+        self.second = np.flatnonzero([block == b for block, *_ in lacking])
+        self.one = a == b
+        shape = (len(self.first), len(self.second))
+        self.sums = [[np.zeros(shape, np.int64) for _ in range(2)] for _ in range(2)]
+        self.seen = 0
+
+    def add(self, rows: np.ndarray, places: np.ndarray, p: np.ndarray, count: int) -> None:
+        """Add the terms of a matrix: ``p`` at (``rows``, ``places``), else ``base``."""
+        laid = np.repeat(self.base[None], count, axis=0)
+        laid[rows, np.searchsorted(self.places, places)] = p
+        left, right = laid[:, self.first], laid[:, self.second]
+        self._pairs(self.sums[0], left, right, False)
+        if not self.one:
+            self._pairs(self.sums[1], left, right, True)
+        self.seen += count
+
+    @staticmethod
+    def _pairs(sums: list[np.ndarray], left: np.ndarray, right: np.ndarray, back: bool) -> None:
+        """f of left against right, or with ``back`` of right against left."""
+        for k in range(left.shape[1]):
+            own = left[:, k : k + 1]
+            gap = own - right
+            f = gap * gap // (own if back else right)
             # A value may come near 10^18: the low and the high half are added apart.
-            self.total[k] += (f & 0xFFFFFFFF).sum(axis=0)
-            self.over[k] += (f >> 32).sum(axis=0)
-        self.terms, self.now = [], None
-
-    def out(self, tile: tuple, arrow: pa.Schema) -> pa.RecordBatch:
-        self._flush()
-        lang, a, b, _ = tile
-        rows = [
-            (lang, a, b, i, j, int(self.total[x, y]) + (int(self.over[x, y]) << 32), self.seen)
-            for i, x in self.spots[0].items()
-            for j, y in self.spots[1].items()
-        ]
+            sums[0][k] += (f & 0xFFFFFFFF).sum(axis=0)
+            sums[1][k] += (f >> 32).sum(axis=0)
+
+    def out(self, lang: str, arrow: pa.Schema) -> pa.RecordBatch:
+        rows = []
+        places = self.places.tolist()
+        for back in range(1 if self.one else 2):
+            low, high = (s.tolist() for s in self.sums[back])
+            for x, g in enumerate(self.first.tolist()):
+                for y, h in enumerate(self.second.tolist()):
+                    if g != h:
+                        pair = (places[h], places[g]) if back else (places[g], places[h])
+                        rows.append((lang, *pair, Decimal(low[x][y] + (high[x][y] << 32)), self.seen))
         columns = list(zip(*rows)) or [[] for _ in arrow]
-        columns[5] = pa.array(columns[5]).cast(pa.decimal128(38)) if rows else []
         return pa.RecordBatch.from_arrays(
-            [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, arrow)],
-            schema=arrow,
+            [pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow
         )
 
 
-def pair_values(counted: DataFrame, groups: DataFrame, steps: Steps) -> DataFrame:
+def pair_values(counted: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank) for every two sources of a language."""
+    size = SOURCES
     own = groups.select(
-        "lang", "source", "place", "total", "kept",
+        "lang", "source", F.col("place").cast("int").alias("place"), "total", "kept",
+        F.floor(F.col("place") / size).cast("int").alias("block"),
         chance(F.lit(0).cast("long"), F.col("total"), F.col("kept")).alias("p0"),
     ).filter("kept > 0")
-    block = F.floor(F.col("place") / SOURCES).cast("int")
-    within = (F.col("place") % SOURCES).cast("int")
     held = counted.join(own.drop("p0"), ["lang", "source"]).select(
-        "lang", "term", block.alias("block"), within.alias("i"),
+        "lang", "term", "block", "place",
         chance(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
     )
-    size = groups.agg(F.max("place")).first()[0]
-    blocks = 1 if size is None else size // SOURCES + 1
-    all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
-    spots = max(LEAST_TASKS, -(-counted.count() * 2 * blocks // ROWS_A_TASK))
-
-    def tiled(rows: DataFrame, *more: Column) -> DataFrame:
-        """Rows as the first and as the second source of every tile."""
-        rows = rows.withColumn("other", F.explode(all_blocks))
-        first = rows.select("lang", F.col("block").alias("a"), F.col("other").alias("b"), *more, "i", "p")
-        second = rows.select(
-            "lang", F.col("other").alias("a"), F.col("block").alias("b"), *more,
-            (F.col("i") + SOURCES).alias("i"), "p",
-        )
-        return first.union(second)
+    last = groups.agg(F.max("place")).first()[0]
+    blocks = 1 if last is None else last // size + 1
+    spots = max(LEAST_TASKS, -(-counted.count() * blocks // ROWS_A_TASK))
+
+    def tiled(rows: DataFrame) -> DataFrame:
+        """Rows with the tiles (a, b) that their block is part of, a up to b."""
+        others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        rows = rows.withColumn("other", others)
+        pair = F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
+        at = F.struct("place", "p", "block").alias("at")
+        return rows.select("lang", *pair, "spot", "term", at)
 
     spot = F.pmod(F.xxhash64("term"), F.lit(spots)).cast("int")
-    some = tiled(held.withColumn("spot", spot), F.col("spot"), F.col("term"))
     heads = own.select(
-        "lang", block.alias("block"), within.alias("i"), F.col("p0").alias("p"),
+        "lang", "block", "place", F.col("p0").alias("p"), F.lit(None).cast("string").alias("term"),
         F.explode(F.sequence(F.lit(0), F.lit(spots - 1))).alias("spot"),
     )
-    heads = tiled(heads, F.col("spot"), F.lit(None).cast("string").alias("term"))
-    dealt = some.union(heads).repartition("lang", "a", "b", "spot")
-    dealt = dealt.select("lang", "a", "b", "spot", "term", "i", "p")
-    dealt = dealt.sortWithinPartitions("lang", "a", "b", "spot", F.asc_nulls_first("term"))
-    summed = tile_sums(dealt).groupBy("lang", "a", "b", "i", "j").agg(
+    tile = ["lang", "a", "b", "spot"]
+    # A list holds at most the sources of two blocks.
+    dealt = tiled(held.withColumn("spot", spot)).unionByName(tiled(heads)).repartition(*tile)
+    listed = dealt.groupBy(*tile, "term").agg(F.collect_list("at").alias("at"))
+    summed = tile_sums(listed.sortWithinPartitions(*tile, F.asc_nulls_first("term")))
+    summed = summed.groupBy("lang", "g", "h").agg(
         F.sum("value").alias("value"), F.sum("seen").alias("seen")
     )
     sides = groups.select("lang", "place", "source", "kept")
     chances = own.select("lang", "place", "p0")
     sides = sides.join(chances, ["lang", "place"], "left")
 
-    def named(side: str, block: str, i: str) -> tuple[DataFrame, Column]:
+    def named(side: str) -> tuple[DataFrame, Column]:
         rows = sides.select([F.col(c).alias(f"{side}_{c}") for c in sides.columns])
-        place = F.col(block) * SOURCES + F.col(i)
-        return rows, (F.col("lang") == F.col(f"{side}_lang")) & (place == F.col(f"{side}_place"))
+        return rows, (F.col("lang") == F.col(f"{side}_lang")) & (F.col(side) == F.col(f"{side}_place"))
 
-    left, on_left = named("g", "a", "i")
-    right, on_right = named("h", "b", "j")
+    left, on_left = named("g")
+    right, on_right = named("h")
     rest = (F.col("g_kept") - F.col("seen")).cast("decimal(20,0)") * apart(F.col("g_p0"), F.col("h_p0"))
-    met = summed.join(left, on_left).join(right, on_right).filter("g_place <> h_place")
+    met = summed.join(left, on_left).join(right, on_right)
     valued = met.select(
         "lang", F.col("g_source").alias("source"), F.col("h_source").alias("item"),
         (F.col("value") + rest).cast("long").alias("value"),
@@ -429,7 +467,7 @@ def audit(
         )
     )
     groups = steps.put(groups, "groups")
-    found = top_terms(counted, groups, top).union(pair_values(counted, groups, steps))
+    found = top_terms(counted, groups, top).union(pair_values(counted, groups))
     found = steps.put(found, "found")
     steps.drop("counted", "groups")
     return found
