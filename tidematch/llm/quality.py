@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidematch.llm.common import GAP, let, words_of
+from tidematch.llm.common import GAP, let
 
 #: Least words of a document, and most of its words in repeated 3-word windows.
 MIN_WORDS = 50
@@ -21,9 +21,13 @@ MENU_SIGNS = 3
 SYMBOL_SHARE = 0.1
 
 # ---- Fixed values: marks that end a sentence, menu separators, stock phrases.
-SENTENCE_END = r"""[.!?…。！？؟।:;]["'”’»)\]]*[\x20\x09-\x0D]*$"""
+# A sentence may be closed by quotes and brackets, and by blanks after them.
+SENTENCE_ENDS = ".!?…。！？؟।:;"
+CLOSING = "\"'”’»)]"
+BLANK = " \t\n\x0b\f\r"
 MENU = r"[|»›•·>]"
 SYMBOL = r"[#*$%&|<>]"
+SIGN = r"[#*$%&|<>»›•·]"
 STOCK_PHRASES = (
     "all rights reserved",
     "cookie policy",
@@ -55,17 +59,16 @@ STOCK_PHRASES = (
 def repeated_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more.
 
-    Windows are compared by a 64-bit hash: sorted, equal ones stand side by
-    side; the places of those are sorted again, and each covers three words or
-    as many as lie before the next place.
+    Windows are compared by a 64-bit hash. Where no two are equal, as in most texts,
+    that is all. Else they are sorted, so that equal ones stand side by side; the
+    places of those are sorted again, and each covers three words or as many as lie
+    before the next place.
     """
 
-    def windows(ws: Column) -> Column:
+    def windows(codes: Column) -> Column:
         return F.transform(
-            F.slice(ws, F.lit(1), F.size(ws) - 2),
-            lambda w, i: F.struct(
-                F.xxhash64(w, F.get(ws, i + 1), F.get(ws, i + 2)).alias("h"), i.alias("i")
-            ),
+            F.slice(codes, F.lit(1), F.size(codes) - 2),
+            lambda c, i: F.xxhash64(c, F.get(codes, i + 1), F.get(codes, i + 2)),
         )
 
     def places(found: Column) -> Column:
@@ -84,13 +87,17 @@ def repeated_words(words: Column) -> Column:
             lambda total, x: total + x,
         )
 
-    def count(ws: Column) -> Column:
-        sorted_windows = F.sort_array(windows(ws))
+    def counted(hashes: Column) -> Column:
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         return F.when(
-            F.size(ws) > 3, let(let(sorted_windows, places), covered)
+            F.size(F.array_distinct(hashes)) < F.size(hashes),
+            let(let(F.sort_array(placed), places), covered),
         ).otherwise(F.lit(0).cast("long"))
 
-    return let(words, count)
+    def count(codes: Column) -> Column:
+        return F.when(F.size(codes) > 3, let(windows(codes), counted)).otherwise(F.lit(0).cast("long"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), count)
 
 
 def removed_characters(text: Column, pattern: str) -> Column:
@@ -100,19 +107,25 @@ def removed_characters(text: Column, pattern: str) -> Column:
 
 def line_passes(line: Column) -> Column:
     """A line of prose: ends a sentence, is no menu, has no stock phrase, is not
-    mostly symbols."""
-    low = F.lower(line)
-    stock = F.lit(False)
-    for phrase in STOCK_PHRASES:
-        stock = stock | F.contains(low, F.lit(phrase))
-    length = F.length(line)
-    menu_signs = length - F.length(F.regexp_replace(line, MENU, ""))
-    symbols = length - F.length(F.regexp_replace(line, SYMBOL, ""))
+    mostly symbols. The dearer tests come last."""
+    last = F.right(F.rtrim(F.rtrim(line, F.lit(BLANK)), F.lit(CLOSING)), F.lit(1))
+
+    def few_signs(length: Column) -> Column:
+        menu_signs = length - F.length(F.regexp_replace(line, MENU, ""))
+        symbols = length - F.length(F.regexp_replace(line, SYMBOL, ""))
+        return (menu_signs < MENU_SIGNS) & (symbols <= length * SYMBOL_SHARE)
+
+    def no_stock(low: Column) -> Column:
+        stock = F.lit(False)
+        for phrase in STOCK_PHRASES:
+            stock = stock | F.contains(low, F.lit(phrase))
+        return ~stock
+
     return (
-        line.rlike(SENTENCE_END)
-        & (menu_signs < MENU_SIGNS)
-        & (symbols <= length * SYMBOL_SHARE)
-        & ~stock
+        F.contains(F.lit(SENTENCE_ENDS), last)
+        & (last != "")
+        & (~line.rlike(SIGN) | few_signs(F.length(line)))
+        & let(F.lower(line), no_stock)
     )
 
 
@@ -134,7 +147,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     def measures(ws: Column) -> Column:
         return F.struct(
             F.size(ws).cast("long").alias("n_words"),
-            F.length(F.regexp_replace(given, GAP, "")).cast("long").alias("word_chars"),
+            F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
             removed_characters(given, SYMBOL + "+").alias("n_symbols"),
             repeated_words(ws).alias("n_repeat_words"),
         )
@@ -154,9 +167,11 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return let(F.filter(lines, line_passes), result)
 
+    inner = F.btrim(given, F.lit(BLANK))
+    words = F.when(inner != "", F.split(inner, GAP)).otherwise(F.array().cast("array<string>"))
     lines = F.filter(F.split(given, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     parts = F.struct(
-        let(words_of(F.col(text)), measures).alias("m"), let(lines, cleaning).alias("c")
+        let(words, measures).alias("m"), let(lines, cleaning).alias("c")
     )
 
     def verdict(x: Column) -> Column:
