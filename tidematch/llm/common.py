@@ -43,9 +43,15 @@ class Steps:
         self.root = work_dir(spark, f"llm/{operator}")
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written as the step ``name`` and read again."""
+        """``df`` written as the step ``name`` and read again.
+
+        Spark deletes the files of a shuffle once the driver's JVM has collected the
+        plan that made it, which may be long after; asked for it here, the shuffles of
+        one step do not lie on the executors' disks beside those of the next.
+        """
         path = f"{self.root}/{name}"
         df.write.parquet(path)
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
