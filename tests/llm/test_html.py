@@ -1,3 +1,9 @@
+import re
+import time
+from html import unescape
+
+import pytest
+
 from tidematch.llm import html
 
 PROSE = "This is the story of a man and the sea that was in his dreams for all of the years. "
@@ -47,3 +53,63 @@ def test_rows(spark):
         (1, "a", 1), (1, "a", 1), (2, "", 0), (None, "", 0)
     ]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout with-sidebar'><p>{}</p></div>",
+        "<article class='post no-promo'><p>{}</p></article>",
+        "<section class='ads-free content'><p>{}</p></section>",
+        "<div id=main data-x=share><p>{}</p></div>",
+        "<p>{}</p>",
+        "<div class='sidebar'><article><p>{}</p></article></div>",
+        "<div class='site-overlay'><div><p>{}</p></div></div><p>Short.</p>",
+    ],
+)
+def test_names_are_read_whole_and_not_believed_blindly(page):
+    text = (PROSE * 4 + "© 1999 " + PROSE).strip()
+    assert text in html.main_text(f"<body>{page.format(text)}</body>")
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "cookie-notice box", "x ad", "leftNav", "post_comments"])
+def test_furniture_names(name):
+    page = f"<body><div class='{name}'><p>{PROSE * 3}</p></div><article><p>{PROSE * 4}</p></article></body>"
+    assert html.main_text(page) == (PROSE * 4).strip()
+
+
+def test_comments_longer_than_the_article_go():
+    page = f"<article><p>{PROSE * 4}</p></article><div id='comments'>{f'<p>{PROSE * 6}</p>' * 9}</div>"
+    assert html.main_text(page) == (PROSE * 4).strip()
+
+
+def test_stop_words_decide_inside_an_article_too():
+    lists = "<li>" + "<a href=x>Some words of another page here and so on</a> " * 3
+    odd = "zzxq vbrt kkll mmnn ppqq " * 6
+    page = f"<article><ul>{lists}</ul><p>{odd}</p><ul>{lists}</ul></article><p>{PROSE * 4}</p>"
+    assert html.main_text(page) == (PROSE * 4).strip()
+    assert odd.strip() in html.main_text(f"<article><p>{PROSE * 4}</p><p>{odd}</p></article>")
+
+
+def test_long_attributes_take_linear_time():
+    for attributes in ("id= " * 300_000, "class=a " * 150_000, "a=b " * 300_000, " " * 1_000_000, "=" * 1_000_000):
+        for page in (f"<div {attributes}>x", f"<div class='{attributes}'>x"):
+            began = time.time()
+            html.main_text(page)
+            assert time.time() - began < 2
+
+
+def test_articles_of_the_given_pages(spark):
+    """Recall and precision in blocks, an article's own blocks being the right ones."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    right = found = both = 0
+    for page in pages:
+        article = re.search(r"<article[^>]*>(.*)</article>", page["html"], re.S)
+        if article is None:
+            continue
+        parts = re.split(r"</?(?:p|h\d|ul|ol|li|div|blockquote|section|table|tr|td|br|pre)\b[^>]*>", article[1])
+        wanted = {" ".join(unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in parts} - {""}
+        got = {x for b in html.main_text(page["html"]).split("\n\n") for x in [" ".join(b.split())] if x}
+        right, found, both = right + len(wanted), found + len(got), both + len(wanted & got)
+    assert right > 10_000
+    assert both / right > 0.97 and both / found > 0.97

@@ -5,6 +5,10 @@ by what surrounds it (a navigation, a footer, an advert), its share of link
 text, its length and its density of stop words; short blocks and middling ones
 stay open. In the second pass an open block takes the label of its nearest
 decided neighbours, in its own section if that has any.
+
+Elements that say what they are, such as ``nav``, count as they are. A class or an id
+counts only as a whole name, and not where what it names holds most of the page's
+text and the article or all the prose with it.
 """
 
 from __future__ import annotations
@@ -50,6 +54,12 @@ FURNITURE_NAMES = (
     "share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar "
     "widget"
 )
+# Words that stand beside those in a name without changing what it says.
+PLAIN_NAMES = (
+    "area article bar blog block bottom box column container content entry fixed footer global "
+    "group header inner item items layer left link links list main outer page panel post posts "
+    "primary right row secondary section site sticky text top wrap wrapper"
+)
 FURNITURE_ROLES = "navigation banner contentinfo complementary search alert dialog form menu"
 STOP_WORDS = frozenset(
     # English
@@ -69,11 +79,12 @@ STOP_WORDS = frozenset(
 )
 # ---- End of fixed values.
 
-_NAMES = re.compile(
-    rf"(?:class|id)\s*=\s*[\"']?[^\"'>]*?(?<![a-z])(?:{'|'.join(FURNITURE_NAMES.split())})(?![a-z])", re.I
-)
-_ROLES = re.compile(rf"role\s*=\s*[\"']?(?:{'|'.join(FURNITURE_ROLES.split())})\b", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_FURNITURE_NAMES = frozenset(FURNITURE_NAMES.split())
+_NAMES = _FURNITURE_NAMES | frozenset(PLAIN_NAMES.split())
+_ROLES = frozenset(FURNITURE_ROLES.split())
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_PART = re.compile(r"[-_:.]+|(?<=[a-z])(?=[A-Z])")
+_UNSHOWN = re.compile(r"display\s*:\s*none")
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)"
@@ -92,20 +103,46 @@ class Block:
     inside: bool  # of an article
     furniture: bool
     heading: bool
+    named: tuple[int, ...] = ()  # containers around it whose name says furniture
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
     label: str = OPEN
 
 
+def _says_furniture(name: str) -> bool:
+    """Whether a whole class or id does: ``cookie-notice`` and ``site-footer``, but not
+    ``with-sidebar``."""
+    parts = [p.lower() for p in _PART.split(name) if p]
+    return any(p in _FURNITURE_NAMES for p in parts) and all(p in _NAMES for p in parts)
+
+
+def marks_of(attributes: str) -> tuple[bool, bool]:
+    """What an element's attributes say: not shown or of a furniture role, and of a
+    furniture name. Read once, from left to right."""
+    sure = named = False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id"):
+            named = named or any(map(_says_furniture, value.split()))
+        elif name == "role":
+            sure = sure or value.strip().lower() in _ROLES
+        elif name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
+            sure = True
+        elif name == "style":
+            sure = sure or _UNSHOWN.search(value.lower()) is not None
+    return sure, named
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page with text, in page order. Markup that is never
     closed, and elements that are, in the wrong order, do no harm: an end tag
     closes the innermost open container of its name, or nothing."""
     out: list[Block] = []
-    # (name, section, inside an article, furniture) of the open containers.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # (name, section, inside an article, furniture, named containers) of the open ones.
+    stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", 0, False, False, ())]
     sections, links, heading, own_furniture, breaks = 0, 0, False, False, 0
+    holds_article: set[int] = set()  # named containers with an article in them
     now: Block | None = None
     at = 0
 
@@ -118,8 +155,8 @@ def blocks_of(html: str) -> list[Block]:
         if now is None:
             if raw.isspace():
                 return
-            _, section, inside, furniture = stack[-1]
-            now = Block(section, inside, furniture or own_furniture, heading)
+            _, section, inside, furniture, named = stack[-1]
+            now = Block(section, inside, furniture or own_furniture, heading, named)
             out.append(now)
         now.parts.append(raw)
         if links:
@@ -164,25 +201,56 @@ def blocks_of(html: str) -> list[Block]:
                         del stack[k:]
                         break
             continue
-        furniture = name in FURNITURE or (
-            bool(attributes)
-            and bool(_NAMES.search(attributes) or _ROLES.search(attributes) or _HIDDEN.search(attributes))
-        )
+        unshown, by_name = marks_of(attributes) if attributes else (False, False)
+        furniture = name in FURNITURE or unshown
         heading = name in HEADINGS
-        own_furniture = furniture and name not in CONTAINERS
-        if name in CONTAINERS:
-            _, _, inside, outer = stack[-1]
-            if name == "header":
-                furniture = furniture or not inside
-            if name in ("article", "main", "body"):
-                furniture = name != "body" and furniture and name != "main"
-            sections += 1
-            # Lists, tables and quotations belong to the section around them.
-            section = sections if name not in ("ul", "ol", "dl", "blockquote", "figure", "td", "table") else stack[-1][1]
-            stack.append((name, section, inside or name in ("article", "main"), outer or furniture))
+        if name not in CONTAINERS:
+            own_furniture = furniture or by_name
+            continue
+        own_furniture = False
+        _, around, inside, outer, named = stack[-1]
+        if name == "header":
+            furniture = furniture or not inside
+        if name in ("article", "main", "body"):
+            furniture = name != "body" and furniture and name != "main"
+            holds_article.update(named if name != "body" else ())
+        sections += 1
+        if by_name and name not in ("body", "main"):
+            named = (*named, sections)
+            if name == "article":
+                holds_article.add(sections)
+        # Lists, tables and quotations belong to the section around them.
+        section = sections if name not in ("ul", "ol", "dl", "blockquote", "figure", "td", "table") else around
+        stack.append((name, section, inside or name in ("article", "main"), outer or furniture, named))
     for block in out:
         block.text = " ".join("".join(block.parts).split())
-    return [b for b in out if b.text]
+    out = [b for b in out if b.text]
+    believe_names(out, holds_article)
+    return out
+
+
+def density(text: str) -> float:
+    """Stop words in a text's words."""
+    words = _WORD.findall(text.lower())
+    return sum(map(STOP_WORDS.__contains__, words)) / max(1, len(words))
+
+
+def believe_names(blocks: list[Block], holds_article: set[int]) -> None:
+    """Blocks in containers with a furniture name are furniture, but for containers with
+    most of the page's text that hold an article, or outside of which is no prose."""
+    weight: dict[int, int] = {}
+    for block in blocks:
+        if not block.furniture and block.linked <= LINKS * len(block.text):
+            weight[-1] = weight.get(-1, 0) + len(block.text)
+            for container in block.named:
+                weight[container] = weight.get(container, 0) + len(block.text)
+    large = {c for c, n in weight.items() if c >= 0 and 2 * n > weight[-1]}
+    if large:
+        free = [b for b in blocks if not b.furniture and not b.named and len(b.text) >= SHORT]
+        prose = any(b.linked <= LINKS * len(b.text) and density(b.text) >= STOP_LOW for b in free)
+        large = {c for c in large if c in holds_article or not prose}
+    for block in blocks:
+        block.furniture = block.furniture or any(c not in large for c in block.named)
 
 
 def decide(block: Block) -> str:
@@ -190,17 +258,16 @@ def decide(block: Block) -> str:
     size = len(block.text)
     if block.furniture or block.linked > LINKS * size:
         return BAD
+    if size < SHORT:
+        return BAD if not block.inside and (block.linked or "©" in block.text) else OPEN
+    share = density(block.text)
     if block.inside:
-        return GOOD if size >= SHORT else OPEN
-    if "©" in block.text:
+        return GOOD if share >= STOP_LOW else NEAR
+    if "©" in block.text and size <= LONG and (share < STOP_HIGH or block.text.startswith("©")):
         return BAD
-    if size < SHORT:
-        return BAD if block.linked else OPEN
-    words = _WORD.findall(block.text.lower())
-    density = sum(map(STOP_WORDS.__contains__, words)) / max(1, len(words))
-    if density >= STOP_HIGH:
+    if share >= STOP_HIGH:
         return GOOD if size > LONG else NEAR
-    return NEAR if density >= STOP_LOW else BAD
+    return NEAR if share >= STOP_LOW else BAD
 
 
 def settle(blocks: list[Block]) -> None:
