@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from tests.llm.conftest import ODD_TEXTS
 from tidematch.llm import pii
@@ -90,3 +91,22 @@ def test_spelled_addresses_of_any_end_and_length():
 def test_long_rows_of_spelled_parts_take_linear_time():
     for part in ("x dot ", "x.", "x at ", "x at y dot "):
         pii.find("say dot on " + part * 30_000)
+
+
+def test_spelled_network_addresses():
+    for text in (
+        "one nine two dot one six eight dot zero dot one",
+        "192 dot one six eight dot 0 dot 1",
+        "one-nine-two dot 168 dot 0.one",
+    ):
+        assert added(f"host {text}, up") == [("ip", text)], text
+    for text in ("one dot two dot three", "three dot nine nine nine dot one dot two"):
+        assert all(kind != "ip" for kind, _ in added(text)), text
+
+
+def test_long_white_space_takes_linear_time():
+    began = time.time()
+    for text in ("[x " + " " * 80_000, "[ " * 40_000, "a" + " " * 80_000 + "[at] b", "one" + " " * 80_000 + "dot two",
+                 "joe" + " " * 80_000 + "at" + " " * 80_000 + "b dot com", "[" + " " * 80_000 + "at" + " " * 80_000):
+        pii.find(text)
+    assert time.time() - began < 3

@@ -149,8 +149,10 @@ _BEYOND_LATIN = re.compile("[^\x00-\xff]")
 _LETTER_IN_DIGITS = re.compile(
     r"(?<=[0-9])(?:[ ().-]?[OolI|]{1,2}(?=[ ().-]{0,2}[0-9])|[OolI|]{1,2}(?!\w))"
 )
+# White space outside the brackets is added by place: looked for from every blank of a
+# long row of them, it would be read again and again.
 _BRACKETED = re.compile(
-    rf"\s*[\[({{<]\s*(?:(@|{'|'.join(AT_WORDS)})|(\.|{'|'.join(DOT_WORDS)}))\s*[\])}}>]\s*", re.I
+    rf"[\[({{<]\s*(?:(@|{'|'.join(AT_WORDS)})|(\.|{'|'.join(DOT_WORDS)}))\s*[\])}}>]", re.I
 )
 _AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
 # Names of any number of parts. One that no at follows is passed as a whole, so a
@@ -165,6 +167,11 @@ _WORD_SIGN = re.compile(rf"\s+(?:({_AT})|({_DOT}))\s+|\s*(@)\s*", re.I)
 _SPELLED_HOST = re.compile(rf"(?<![\w.])[0-9]{{1,3}}(?:(?:\s+(?:{_DOT})\s+|\.)[0-9]{{1,3}}){{3}}(?!\w|\.\w)", re.I)
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED_DIGITS = re.compile(rf"(?<!\w)(?:{_DIGIT})(?:[ .,-]{{1,2}}(?:{_DIGIT}|[0-9]+)(?!\w)){{3,}}", re.I)
+_SHORT = rf"(?:{_DIGIT}|[0-9]{{1,3}})(?:[ -](?:{_DIGIT}|[0-9])){{0,2}}"
+_SPELLED_ADDRESS = re.compile(
+    rf"(?<![\w.]){_SHORT}(?!\w)(?:(?:\s+(?:{_DOT})\s+|\.){_SHORT}(?!\w)){{3}}(?!\.\w|\s+(?:{_DOT})\s)", re.I
+)
+_ADDRESS_PART = re.compile(rf"\s+(?:{_DOT})\s+|({_DIGIT})(?!\w)|[ -](?=[0-9])|[ -](?=(?:{_DIGIT})(?!\w))", re.I)
 _ONE_DIGIT = re.compile(rf"({_DIGIT})([ .,-]*)", re.I)
 _PLUS_WORD = re.compile(rf"(?<!\w)plus\s+(?=[0-9]|(?:{_DIGIT})(?!\w))", re.I)
 
@@ -203,7 +210,16 @@ def bracketed_signs(text: str) -> list[tuple[int, int, str]]:
     """(at), [dot] and the like, with the white space around."""
     if not any(c in text for c in "[({<"):
         return []
-    return [(m.start(), m.end(), "@" if m[1] else ".") for m in _BRACKETED.finditer(text)]
+    out: list[tuple[int, int, str]] = []
+    for m in _BRACKETED.finditer(text):
+        start, end = m.span()
+        least = out[-1][1] if out else 0
+        while start > least and text[start - 1].isspace():
+            start -= 1
+        while end < len(text) and text[end].isspace():
+            end += 1
+        out.append((start, end, "@" if m[1] else "."))
+    return out
 
 
 def spelled_signs(text: str) -> list[tuple[int, int, str]]:
@@ -228,6 +244,18 @@ def spelled_signs(text: str) -> list[tuple[int, int, str]]:
     return _in_order(out)
 
 
+def spelled_addresses(text: str) -> list[tuple[int, int, str]]:
+    """Four short groups of digits, some as words, with dots between them as words."""
+    out: list[tuple[int, int, str]] = []
+    if not _DOT_WORD.search(text):
+        return out
+    for m in _SPELLED_ADDRESS.finditer(text):
+        for p in _ADDRESS_PART.finditer(text, m.start(), m.end()):
+            put = DIGIT_WORDS[p[1].lower()] if p[1] else "." if p[0].strip(" -") else ""
+            out.append((p.start(), p.end(), put))
+    return out
+
+
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     """Runs of four or more digits, of which the first is a word; and plus before digits."""
     out = [(m.start(), m.end(), "+") for m in _PLUS_WORD.finditer(text)]
@@ -251,7 +279,14 @@ def _in_order(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return kept
 
 
-TRANSDUCERS = (look_alikes, bracketed_signs, spelled_signs, spelled_digits, letters_as_digits)
+TRANSDUCERS = (
+    look_alikes,
+    bracketed_signs,
+    spelled_addresses,
+    spelled_signs,
+    spelled_digits,
+    letters_as_digits,
+)
 
 
 def find_disguised(text: str, plain: list[Span]) -> list[Span]:
