@@ -65,3 +65,52 @@ def test_repeated_rows_and_columns(odd_docs):
 def test_texts_without_words(make_docs):
     rows = mixing.mix(make_docs(["", None, " "])).collect()
     assert [(r["size"], r["target"]) for r in rows] == [(0, 0.0)] * 3
+
+
+def test_inclusion_follows_the_probabilities(make_docs):
+    """Many sources of the same sizes, as many draws: a document is taken as often as its
+    probability says, and large ones are certain."""
+    sizes = [1, 2, 4, 9, 16, 16, 25, 36, 49, 64, 100, 100, 144] * 4
+    draws = 100
+    texts = [f"w{d} " * n for d in range(draws) for n in sizes]
+    sources = [f"s{d:03d}" for d in range(draws) for _ in sizes]
+    docs = make_docs(texts, sources=sources)
+    total = sum(sizes)
+    for share in (0.35, 0.9):
+        rest = share * total
+        by_size = sorted(sizes)
+        sure = []
+        while True:
+            left = by_size[: len(by_size) - len(sure)]
+            scale = (rest - sum(sure)) / sum(n * max(1, int(n**0.5)) for n in left)
+            if scale * max(1, int(left[-1] ** 0.5)) <= 1:
+                break
+            sure.append(left[-1])
+        taken, sums = Counter(), Counter()
+        for r in mixing.mix(docs, share=share, weights=(1,)).collect():
+            taken[r["size"]] += r["copies"]
+            sums[r["source"]] += r["copies"] * r["size"]
+            assert r["copies"] <= 1 and abs(r["target"] - rest) < 1e-6
+        wanted = {n: 1.0 if n in sure else scale * max(1, int(n**0.5)) for n in sizes}
+        assert min(wanted.values()) < 0.2 < 0.4 < max(wanted.values())
+        assert bool(sure) == (share > 0.5)
+        for n, chance in wanted.items():
+            assert abs(taken[n] / (draws * sizes.count(n)) - chance) < 0.07, (share, n, chance)
+        for n in sure:
+            assert taken[n] == draws * sizes.count(n)
+        assert all(abs(v - rest) <= 72 for v in sums.values())
+
+
+def test_chances_add_up_to_the_words_left(spark):
+    rows = [("a", n, 0.0) for n in (0, 1, 1, 5, 50, 500)] + [(None, 3, 0.0)] + [("z", 0, 0.0)]
+    sizes = spark.createDataFrame(rows, "source string, size long, draw double")
+    plan = spark.createDataFrame([("a", 300.0), (None, 1.5), ("z", 0.0)], "source string, rest double")
+    found = mixing.chances(sizes, plan).collect()
+    scale = {r["source"]: r["scale"] for r in found}
+    assert len(found) == 3 and scale["z"] is None
+
+    def chance(s, n):
+        return min(1.0, scale[s] * max(1, int(n**0.5)))
+
+    assert abs(sum(n * chance("a", n) for n in (0, 1, 1, 5, 50, 500)) - 300) < 1e-9
+    assert abs(3 * chance(None, 3) - 1.5) < 1e-9

@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Each source has a target in words. Every document of it is taken as often as the
-target holds the whole source; for the words that are left each document has an
-inclusion probability, and documents are ranked by the odds of a random number
-divided by the odds of that probability. The lowest ranks are taken up to the
-words wanted, so the sample has a fixed size. The probabilities are equal within
-a source, whatever a document's size: the order there is that of the random numbers.
+target holds the whole source. For the words that are left each document has an
+inclusion probability in proportion to the whole part of its size's square root; where
+that would exceed 1 the document is certain, and the others share what is left by the
+same rule. Documents are ranked by the odds of a random number divided by the odds of
+their probability, certain ones first. The lowest ranks are taken up to the words
+wanted, so the sample has a fixed size.
 
 Where the ranking stops is found from counts: the ranks are dealt into buckets,
 the bucket that holds the limit into smaller ones, and only the documents of one
@@ -25,6 +26,8 @@ SHARE = 1.5
 WEIGHTS = (3, 1, 2)
 #: A source gives at most so many times its own words.
 CAP = 2.0
+#: No probability is below this.
+LEAST_CHANCE = 1e-9
 #: Buckets of ranks in each of two steps.
 BUCKETS = 4096
 
@@ -91,19 +94,53 @@ def targets(
     )
 
 
+def measure(size: Column) -> Column:
+    """What a document's inclusion probability is in proportion to, a whole number, so
+    that sums of it are exact."""
+    return F.greatest(F.floor(F.sqrt(size)), F.lit(1)).cast("long")
+
+
+def chances(sizes: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with ``scale``: a document's probability is ``scale * measure``, 1 where
+    that is more, and the probabilities times the sizes add up to the words left.
+
+    With documents in order of size the certain ones are the largest. Sizes are counted
+    first, so a source is as many rows as it has different sizes.
+    """
+    counted = sizes.groupBy("source", "size").agg(F.count("*").alias("n"))
+    met = counted.alias("c").join(plan.alias("p"), F.expr("c.source <=> p.source")).select(
+        "c.*", "p.rest", measure(F.col("size")).alias("m")
+    )
+    own = Window.partitionBy("source").orderBy("size")
+    larger = F.sum(F.col("n") * F.col("size")).over(own.rowsBetween(1, Window.unboundedFollowing))
+    mass = F.sum(F.col("n") * F.col("size") * F.col("m")).over(
+        own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    left = F.col("rest") - F.coalesce(larger, F.lit(0))
+    met = met.withColumns({"left": left, "mass": mass})
+    fits = met.filter((F.col("mass") > 0) & (F.col("left") * F.col("m") <= F.col("mass")))
+    scales = fits.groupBy("source").agg(F.max_by(F.col("left") / F.col("mass"), "size").alias("scale"))
+    joined = plan.alias("p").join(scales.alias("s"), F.expr("p.source <=> s.source"), "left")
+    return joined.select("p.*", "s.scale")
+
+
+def chance_of(size: Column, scale: Column) -> Column:
+    return F.greatest(F.least(scale * measure(size), F.lit(1.0)), F.lit(LEAST_CHANCE))
+
+
 def with_ranks(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with their source's plan and their own rank in (0, 1).
+    """Rows with their source's plan and their own rank, from 0 to below 1.
 
-    The rank grows with odds(draw) / odds(inclusion); where nothing is left to
-    sample it is the draw.
+    The rank grows with odds(draw) / odds(inclusion) and is 0 for a certain document;
+    where nothing is left to sample it is the draw.
     """
     met = (
         rows.alias("r")
         .join(plan.alias("p"), F.expr("r.source <=> p.source"))
         .drop(F.col("p.source"))
     )
-    chance = F.col("rest") / F.col("source_size")
-    odds = (F.col("draw") / (1 - F.col("draw"))) / (chance / (1 - chance))
+    chance = chance_of(F.col("size"), F.col("scale"))
+    odds = (F.col("draw") / (1 - F.col("draw"))) * ((1 - chance) / chance)
     rank = F.when((F.col("rest") > 0) & (F.col("source_size") > 0), odds / (1 + odds))
     return met.withColumn("rank", F.coalesce(rank, F.col("draw")))
 
@@ -200,7 +237,8 @@ def mix(
 
 def plan_for(sizes: DataFrame, share=SHARE, weights=WEIGHTS, cap=CAP) -> DataFrame:
     """One row per source: sizes, target, whole copies and where sampling stops."""
-    plan = stored(copies_plan(targets(sizes, share, weights, cap)), "mix-plan")
+    plan = stored(copies_plan(targets(sizes, share, weights, cap)), "mix-copies")
+    plan = stored(chances(sizes, plan), "mix-plan")
     return stored(limits(sizes, plan), "mix-limits")
 
 
@@ -212,7 +250,7 @@ def apply(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         (F.col("rank") < F.col("floor")) | F.coalesce(own <= F.col("last"), F.lit(False))
     )
     copies = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("int")
-    return ranked.withColumn("copies", copies).drop("rank", "draw", "whole", "rest", "last", "floor")
+    return ranked.withColumn("copies", copies).drop("rank", "draw", "whole", "rest", "scale", "last", "floor")
 
 
 def repeated(
@@ -257,9 +295,23 @@ WITH d AS (
 ), r AS (
   SELECT d.doc_id, d.size, d.draw, c.*, target - whole * source_size AS rest
   FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
+), h AS (
+  SELECT r.source, size, count(*) AS n, any_value(rest) AS rest, greatest(floor(sqrt(size)), 1)::BIGINT AS m
+  FROM r GROUP BY r.source, size
+), w AS (
+  SELECT *, rest - coalesce(sum(n * size) OVER (PARTITION BY source ORDER BY size
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS words,
+    (sum(n * size * m) OVER (PARTITION BY source ORDER BY size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE AS mass FROM h
+), f AS (
+  SELECT source, arg_max(words / mass, size) AS scale FROM w WHERE mass > 0 AND words * m <= mass GROUP BY source
+), q AS (
+  SELECT r.*, greatest(least(scale * greatest(floor(sqrt(size)), 1), 1.0), {LEAST_CHANCE}) AS chance
+  FROM r LEFT JOIN f ON r.source IS NOT DISTINCT FROM f.source
+), z AS (
+  SELECT *, (draw / (1 - draw)) * ((1 - chance) / chance) AS odds FROM q
 ), k AS (
-  SELECT *, CASE WHEN rest > 0 AND source_size > 0 THEN
-    (draw / (1 - draw)) / ((rest / source_size) / (1 - rest / source_size)) ELSE draw END AS rank FROM r
+  SELECT *, CASE WHEN rest > 0 AND source_size > 0 THEN odds / (1 + odds) ELSE draw END AS rank FROM z
 ), o AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0 AS reach FROM k
