@@ -11,6 +11,7 @@ from tests import fixtures
 from tidematch.functions import geo
 from tidematch.operators import geojoin
 from tidematch.plans import coupon
+from tidematch.sources import layout, partitions
 
 
 def frames(df):
@@ -195,3 +196,61 @@ def test_many_requests_are_not_broadcast(spark, monkeypatch):
     assert geojoin.few_requests(requests)
     monkeypatch.setattr(geojoin, "BROADCAST_ROWS", 27 * 10)
     assert not geojoin.few_requests(requests)
+
+
+def located(spark, count, seed):
+    """Users all over the sphere, at its poles and its date line, and without a position."""
+    rng = random.Random(seed)
+    rows = [("1", str(k), str(rng.uniform(-90, 90)), str(rng.uniform(-180, 180))) for k in range(count)]
+    rows += [("1", "p", "90", "0"), ("1", "q", "-90", "12"), ("1", "d", "0", "180"), ("1", "e", "0", "-180")]
+    rows += [("1", "n", None, "1"), ("1", "x", "east", "1"), ("1", "i", "NaN", "1")]
+    users = spark.createDataFrame(rows, "cert_type string, cert_nbr string, lat string, lng string")
+    return users.withColumn("partstart", F.when(F.col("cert_nbr") < "5", "20220207").otherwise("20220210"))
+
+
+def test_users_by_place_give_the_same_matches(spark, tmp_path):
+    """Ranges from metres to the whole sphere, at the poles and across the date line."""
+    users = located(spark, 3000, 3)
+    layout.write_by_place(users, f"{tmp_path}/users")
+    stored = spark.read.parquet(f"{tmp_path}/users").withColumn("partstart", F.col("partstart").cast("string"))
+    assert stored.count() == users.count()
+    spots = [(90, 0), (-89.9, 77), (0, 180), (0.1, -179.9), (48, 11), (400, -500)]
+    for metres in ("300", "90000", "700000", "3000000", "30000000"):
+        requests = fixtures.requests(
+            spark, *[fixtures.request(a, b, store_range=metres, req=f"R{k}") for k, (a, b) in enumerate(spots)]
+        )
+        near = layout.near(stored, requests)
+        wanted = geojoin.match_requests(requests, users).select("unique_req_id", "cert_nbr").collect()
+        got = geojoin.match_requests(requests, near).select("unique_req_id", "cert_nbr").collect()
+        assert sorted(got) == sorted(wanted) and (len(got) > 0 or metres == "300")
+
+
+def test_only_the_files_of_reached_places_are_read(spark, tmp_path):
+    users = located(spark, 3000, 4)
+    layout.write_by_place(users, f"{tmp_path}/users")
+    stored = spark.read.parquet(f"{tmp_path}/users")
+    some = users.where("cert_nbr = '7'").first()
+    requests = fixtures.requests(spark, fixtures.request(float(some["lat"]), float(some["lng"]), store_range="20000"))
+    near = layout.near(stored, requests)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [place" in plan or "PartitionFilters: [isnotnull(place" in plan
+    scan = near._jdf.queryExecution().executedPlan()
+    near.collect()
+    whole = len(stored.inputFiles())
+    read = {r[0] for r in near.select(F.input_file_name()).collect()}
+    assert 1 <= len(read) <= 8 < whole / 100, scan
+    assert layout.near(stored, requests.where("1 = 0")).count() == 0
+    bad = fixtures.requests(spark, fixtures.request("north", 1.0, store_range="20000"))
+    assert layout.reached_places(bad) == []
+    wide = fixtures.requests(spark, fixtures.request(1.0, 1.0, store_range="9000000"))
+    assert layout.reached_places(wide) is None
+
+
+def test_a_partition_and_its_places(spark, tmp_path):
+    """The latest partition of a folder stored by place, one partition replaced."""
+    users = located(spark, 400, 5)
+    path = f"{tmp_path}/users"
+    layout.write_by_place(users, path)
+    latest = partitions.LatestPartition(path)
+    assert latest(spark).count() == users.where("partstart = '20220210'").count()
+    assert "place" in latest(spark).columns

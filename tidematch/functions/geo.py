@@ -96,10 +96,20 @@ def cell_id(level: Column, index: dict[str, Column]) -> Column:
 
 def gate_id(level: Column, index: dict[str, Column]) -> Column:
     """The cell's ancestor at ``GATE_LEVEL``, or the cell itself where it is
-    coarser. The sphere has about 100,000 of them."""
+    coarser, for cells of one level. The sphere has about 100,000 of them at each of at
+    most 20 levels."""
     steps = F.greatest(level - GATE_LEVEL, F.lit(0))
-    above = {axis: F.floor(index[axis] / F.pow(F.lit(2.0), steps)) for axis in AXES}
-    return cell_id(F.least(level, F.lit(GATE_LEVEL)), above)
+    packed = level.cast("long") - COARSEST_LEVEL
+    for axis in AXES:
+        above = F.floor(index[axis] / F.pow(F.lit(2.0), steps)).cast("long")
+        packed = packed * (4 << GATE_LEVEL) + (above + (2 << GATE_LEVEL))
+    return packed
+
+
+def place_id(vector: dict[str, Column], level: int) -> Column:
+    """The cell of one fixed level that a point of the unit sphere lies in."""
+    scale = level_scale(F.lit(level))
+    return cell_id(F.lit(level), {axis: axis_index(vector[axis], scale) for axis in AXES})
 
 
 def touches_sphere(scale: Column, index: dict[str, Column]) -> Column:

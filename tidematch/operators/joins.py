@@ -120,12 +120,13 @@ def salted_join(
     hot = left.sparkSession.createDataFrame(rows, found.schema)
 
     def spread(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
+        # Rows of other keys have no place in the order, so they are not moved for it.
         content = F.xxhash64(*[F.col(c) for c in df.columns])
         return (
-            df.withColumn("_content", content)
+            df.join(F.broadcast(hot), keys, "left")
+            .withColumn("_content", F.when(F.col(own).isNotNull(), content))
             .sortWithinPartitions("_content")
             .withColumn("_turn", F.monotonically_increasing_id())
-            .join(F.broadcast(hot), keys, "left")
             .withColumn(own_salt, F.pmod("_turn", F.coalesce(own, F.lit(1))))
             .withColumn(
                 other_salt,

@@ -160,14 +160,18 @@ def coupon_batch(
     latest_users: Callable[[SparkSession], DataFrame],
     write: Callable[[DataFrame, int], None],
     equal: dict[str, str] | None = None,
+    near: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for a stream of parsed requests: users are
     resolved anew for each micro-batch, so it sees the partition that is the
-    latest at its time."""
+    latest at its time. ``near(users, requests)`` leaves out users that no request of
+    the micro-batch can reach, such as ``layout.near`` for users stored by place."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with kept(batch, "requests") as requests:
             users = latest_users(batch.sparkSession)
+            if near is not None:
+                users = near(users, requests)
             write(coupon_match(requests, users, equal), batch_id)
 
     return run

@@ -14,6 +14,7 @@ from tidematch.functions.timetext import SECONDS, epoch_micros
 from tidematch.plans.coupon import parse_requests
 from tidematch.session import use_utc, work_dir
 from tidematch.sources.files import spread_scan, table_stream
+from tidematch.sources.layout import write_by_place
 from tidematch.sources.tables import write_partitioned
 
 MESSAGE_TYPES = ("signup", "purchase")
@@ -136,3 +137,16 @@ def partitioned_users(spark: SparkSession, sf_dir: str) -> str:
         write_partitioned(users(spark, sf_dir), path)
         _partitioned[key] = path
     return _partitioned[key]
+
+
+_placed: dict[tuple[str, str], str] = {}
+
+
+def placed_users(spark: SparkSession, sf_dir: str) -> str:
+    """The users written once per application by ``partstart`` and by place."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _placed:
+        path = work_dir(spark, "users-by-place")
+        write_by_place(users(spark, sf_dir), path)
+        _placed[key] = path
+    return _placed[key]

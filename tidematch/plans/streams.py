@@ -19,7 +19,7 @@ from tidematch.plans.queries import (
     score_records,
 )
 from tidematch.session import streaming_session, work_dir
-from tidematch.sources import files, partitions
+from tidematch.sources import files, layout, partitions
 from tidematch.streaming import jobs, keyed, watermarks
 
 
@@ -151,10 +151,14 @@ def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _coupon_stream(
-    spark: SparkSession, requests: DataFrame, users: Callable, equal: dict | None = None
+    spark: SparkSession,
+    requests: DataFrame,
+    users: Callable,
+    equal: dict | None = None,
+    near: Callable | None = None,
 ) -> DataFrame:
     folder = work_dir(spark, "coupon")
-    run = coupon.coupon_batch(users, jobs.write_batch(f"{folder}/rows"), equal)
+    run = coupon.coupon_batch(users, jobs.write_batch(f"{folder}/rows"), equal, near)
     jobs.run_available(jobs.batch_writer(requests, run, f"{folder}/checkpoint"))
     return spark.read.parquet(f"{folder}/rows").drop("batch_id")
 
@@ -166,11 +170,12 @@ def _request_stream(session: SparkSession, sf: str) -> DataFrame:
 
 def stream_temporal_join(spark: SparkSession, sf: str) -> DataFrame:
     """The coupon job on a stream, users of the partition that is the latest when
-    the micro-batch runs, joined on type as well."""
-    latest = partitions.LatestPartition(inputs.partitioned_users(spark, sf), interval_s=20)
+    the micro-batch runs, joined on type as well. Users are stored by place, so a
+    micro-batch reads the files of the places that its requests reach."""
+    latest = partitions.LatestPartition(inputs.placed_users(spark, sf), interval_s=20)
     requests = _request_stream(streaming_session(spark), sf)
     enriched = shape.enrich_request(requests, "3", batch_time())
-    return _coupon_stream(spark, enriched, latest, {"type": "cert_type"})
+    return _coupon_stream(spark, enriched, latest, {"type": "cert_type"}, layout.near)
 
 
 def stream_routes(spark: SparkSession, sf: str) -> DataFrame:
