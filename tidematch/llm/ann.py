@@ -1,6 +1,7 @@
 """Nearest neighbours by robust-pruned directed graphs, one per shard.
 
-Distinct vectors are dealt into shards of bounded size. In each, points enter a
+Distinct vectors are dealt into shards of bounded size, which grow with the table up to
+that bound. In each, points enter a
 graph in batches: a greedy search over what is there proposes neighbours, relaxed
 pruning keeps edges in different directions, and edges back are added and pruned
 likewise. The graphs are stored, a row per shard. Queries go through every shard
@@ -15,12 +16,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidematch.llm.common import stored
+from tidematch.llm.common import Steps
 from tidematch.session import ship_package
 
-#: Distinct vectors in a shard, about, and queries in a block.
-SHARD = 8192
-BLOCK = 1024
+#: Distinct vectors in a shard, about: as many as make ``SHARDS`` shards, within these
+#: bounds. Every query goes through every shard, so there are few shards, up to
+#: millions of vectors, and large ones beyond.
+SHARD, LARGEST, SHARDS = 8192, 131_072, 128
+#: Queries in a block. A shard's graph is sent to each block of queries, so a block is
+#: about as large as a graph of the smallest size.
+BLOCK = 8192
 #: Edges out of a point, beam widths of building and of searching, relaxation.
 DEGREE = 32
 BUILD_BEAM = 64
@@ -170,7 +175,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
-def index(rows: DataFrame, nearest: int = NEAREST) -> tuple[DataFrame, int]:
+def index(rows: DataFrame, steps: Steps, nearest: int = NEAREST) -> tuple[DataFrame, int]:
     """The stored graphs, a row per shard and dimension, and the number of shards.
 
     Equal vectors are one point that carries its ``nearest + 1`` smallest ids:
@@ -184,8 +189,9 @@ def index(rows: DataFrame, nearest: int = NEAREST) -> tuple[DataFrame, int]:
         .groupBy("v")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
-    points = stored(points, "ann-points")
-    shards = max(1, -(-points.count() // SHARD))
+    points = steps.put(points, "points")
+    count = points.count()
+    shards = max(1, -(-count // min(LARGEST, max(SHARD, count // SHARDS))))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
 
     def graph(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -209,7 +215,9 @@ def index(rows: DataFrame, nearest: int = NEAREST) -> tuple[DataFrame, int]:
         graph,
         "shard int, dim int, points binary, edges binary, starts binary, sizes binary, ids binary",
     )
-    return stored(built, "ann-index"), shards
+    graphs = steps.put(built, "index")
+    steps.drop("points")
+    return graphs, shards
 
 
 def search(graphs: DataFrame, shards: int, queries: DataFrame, nearest: int = NEAREST) -> DataFrame:
@@ -279,7 +287,10 @@ def neighbours(
     with several vectors each is searched and the nearest of all count. With
     fewer candidates than asked for all are given; an empty table gives no rows.
     """
-    rows = stored(usable(vectors, key, vector), "ann-rows")
-    asked = stored(usable(vectors.filter(is_query), key, vector), "ann-queries")
-    graphs, shards = index(rows, nearest)
-    return search(graphs, shards, asked, nearest)
+    steps = Steps(vectors.sparkSession, "ann")
+    rows = steps.put(usable(vectors, key, vector), "rows")
+    asked = steps.put(usable(vectors.filter(is_query), key, vector), "queries")
+    graphs, shards = index(rows, steps, nearest)
+    found = steps.put(search(graphs, shards, asked, nearest), "found")
+    steps.drop("rows", "queries", "index")
+    return found

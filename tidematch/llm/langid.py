@@ -26,11 +26,11 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 #: Filters of each width.
 FILTERS = 16
-#: Labelled texts that training takes per language, and passages of each.
+#: Labelled texts that training takes: of each language, of all together, about; and
+#: passages of each. Every language is learned; the more there are, the fewer of each.
 DOCS_PER_LANG = 1000
+DOCS = 20_000
 PASSAGES = 2
-#: Languages that can be learned, the most frequent ones.
-LANGS = 200
 UNDETERMINED = "und"
 
 #: Symbols: 0 the gap, 1 to 26 the letters a to z, then the bytes from 128 on.
@@ -146,8 +146,9 @@ def fit(passages: list[str], labels: list[str], epochs: int = 4, seed: int = 7)
     net = Network(langs, tables, *params[len(tables) :])
     if len(langs) < 2:
         return net
-    x = np.concatenate([windows_of(p)[:1] for p in passages]).astype(np.int64)
-    y = np.array([langs.index(v) for v in labels])
+    x = np.concatenate([windows_of(p)[:1] for p in passages])
+    number = {v: k for k, v in enumerate(langs)}
+    y = np.array([number[v] for v in labels])
     share = np.bincount(y, minlength=len(langs)) / len(y)
     cost = (1 / (len(langs) * share))[y]  # every language counts the same
     first = [np.zeros_like(p) for p in params]
@@ -158,7 +159,7 @@ def fit(passages: list[str], labels: list[str], epochs: int = 4, seed: int = 7)
         for start in range(0, len(x), 64):
             rows = order[start : start + 64]
             step += 1
-            for k, grad in enumerate(_gradients(net, x[rows], y[rows], cost[rows])):
+            for k, grad in enumerate(_gradients(net, x[rows].astype(np.int64), y[rows], cost[rows])):
                 first[k] = 0.9 * first[k] + 0.1 * grad
                 second[k] = 0.99 * second[k] + 0.01 * grad * grad
                 m = first[k] / (1 - 0.9**step)
@@ -200,31 +201,32 @@ def remainder(key: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(lang, passage) of at most about ``DOCS_PER_LANG`` texts a language,
-    chosen by a hash of the key; two passages of each.
+    """(lang, passage) of at most about ``DOCS_PER_LANG`` texts a language and ``DOCS``
+    together, chosen by a hash of the key; two passages of each.
 
     One pass over the labels counts the languages, a second takes the share of
     each that gives the wanted number.
     """
     labelled = docs.filter(F.col(lang).isNotNull() & (remainder(key) != 2))
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(LANGS).collect()
-    chance = F.lit(0.0)
-    for row in counts:
-        wanted = min(1.0, DOCS_PER_LANG / row["count"])
-        chance = F.when(F.col(lang) == row[lang], wanted).otherwise(chance)
-    draw = F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) / 1_000_000
-    some = labelled.filter(F.col(text).isNotNull() & (draw < chance))
-    room = F.greatest(F.length(text) - WINDOW, F.lit(1))
-    starts = [F.pmod(F.xxhash64(F.col(key), F.lit(k)), room) + 1 for k in range(PASSAGES)]
-    cut = F.array(*[F.substring(F.col(text), s.cast("int"), F.lit(WINDOW)) for s in starts])
-    return some.select(F.col(lang).alias("lang"), F.explode(cut).alias("passage"))
+    labelled = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang"))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    langs = max(1, counts.count())
+    each = min(DOCS_PER_LANG, max(1, DOCS // langs))
+    chance = F.least(F.lit(1.0), F.lit(each) / F.col("n")) * min(1.0, DOCS / langs)
+    draw = F.pmod(F.xxhash64("k"), F.lit(1_000_000)) / 1_000_000
+    met = labelled.filter(F.col("t").isNotNull()).join(counts.select("lang", chance.alias("chance")), "lang")
+    some = met.filter(draw < F.col("chance"))
+    room = F.greatest(F.length("t") - WINDOW, F.lit(1))
+    starts = [F.pmod(F.xxhash64("k", F.lit(k)), room) + 1 for k in range(PASSAGES)]
+    cut = F.array(*[F.substring(F.col("t"), s.cast("int"), F.lit(WINDOW)) for s in starts])
+    return some.select("lang", F.explode(cut).alias("passage"))
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
     """A network learned from ``docs`` whose key's remainder is not 2.
 
-    At most ``LANGS`` languages and about ``DOCS_PER_LANG * PASSAGES`` passages
-    of ``WINDOW`` characters each reach the driver, whatever the input's size.
+    About ``DOCS * PASSAGES`` passages of ``WINDOW`` characters at most reach the
+    driver, whatever the input's size.
     """
     rows = sorted(
         (r["lang"], r["passage"])

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidematch.llm.common import GAP, stored
+from tidematch.llm.common import GAP, Steps
 
 #: Words to take, as a share of all there are.
 SHARE = 1.5
@@ -158,7 +158,7 @@ def _bucket(step: int) -> Column:
     return F.pmod(F.floor(scaled), F.lit(BUCKETS)).cast("int")
 
 
-def limits(sizes: DataFrame, plan: DataFrame) -> DataFrame:
+def limits(sizes: DataFrame, plan: DataFrame, steps: Steps) -> DataFrame:
     """The plan with ``last``, the highest (rank, key, size) taken of the bucket
     where a source's sample ends, and ``floor``, below which all are taken.
 
@@ -178,9 +178,9 @@ def limits(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         in_order = Window.partitionBy("source").orderBy("bucket")
         before = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
         met = met.withColumn("base", F.col("base") + F.coalesce(before, F.lit(0)))
-        bound = stored(
+        bound = steps.put(
             met.filter("base <= rest AND rest < base + n").select("source", "bucket", "base", "rest"),
-            f"mix-step{step}",
+            f"step{step}",
         )
         cell = (
             cell.withColumn("bucket", _bucket(step))
@@ -231,15 +231,18 @@ def mix(
     one rank, so they are all in or all out; an empty table gives no rows. Only
     the three named columns are read.
     """
-    sizes = stored(sized(docs, key, text, source), "mix-sizes")
-    return apply(sizes, plan_for(sizes, share, weights, cap)).withColumnRenamed("key", key)
+    steps = Steps(docs.sparkSession, "mix")
+    sizes = steps.put(sized(docs, key, text, source), "sizes")
+    return apply(sizes, plan_for(sizes, steps, share, weights, cap)).withColumnRenamed("key", key)
 
 
-def plan_for(sizes: DataFrame, share=SHARE, weights=WEIGHTS, cap=CAP) -> DataFrame:
+def plan_for(sizes: DataFrame, steps: Steps, share=SHARE, weights=WEIGHTS, cap=CAP) -> DataFrame:
     """One row per source: sizes, target, whole copies and where sampling stops."""
-    plan = stored(copies_plan(targets(sizes, share, weights, cap)), "mix-copies")
-    plan = stored(chances(sizes, plan), "mix-plan")
-    return stored(limits(sizes, plan), "mix-limits")
+    plan = steps.put(copies_plan(targets(sizes, share, weights, cap)), "copies")
+    plan = steps.put(chances(sizes, plan), "chances")
+    plan = steps.put(limits(sizes, plan, steps), "limits")
+    steps.drop("copies", "chances", "step1", "step2")
+    return plan
 
 
 def apply(sizes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -257,8 +260,9 @@ def repeated(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
     """Rows of ``docs``, each as often as the mix takes it, with its columns."""
-    sizes = stored(sized(docs, key, text, source), "mix-sizes")
-    plan = plan_for(sizes)
+    steps = Steps(docs.sparkSession, "mix")
+    plan = plan_for(steps.put(sized(docs, key, text, source), "sizes"), steps)
+    steps.drop("sizes")
     whole = docs.select(
         F.struct("*").alias("row"),
         F.col(key).alias("key"),
