@@ -259,9 +259,10 @@ def score(docs: DataFrame, machine: Machine, name: str = "score", text: str = "t
 
     The whole text alone decides. A null text is scored as an empty one. Repeated
     rows and null keys come back as they are, other columns as they come; a column
-    of that name must not be there. An empty table gives no rows.
+    of that name is replaced. An empty table gives no rows.
     """
     ship_package(docs.sparkSession)
+    docs = docs.drop(name)
 
     def make():
         scorer = Scorer(machine)
