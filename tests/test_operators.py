@@ -42,8 +42,8 @@ def test_containing(spark):
 
 
 def test_job_parameter(people):
-    assert rows(shape.append_parameter(people, "name", "myvalue").select("name")) == [
-        ("Fred-myvalue",), ("Pebbles-myvalue",), ("Wilma-myvalue",)
+    assert rows(shape.append_parameter(people, "name", "tide").select("name")) == [
+        ("Fred-tide",), ("Pebbles-tide",), ("Wilma-tide",)
     ]
 
 

@@ -216,7 +216,7 @@ SQL: dict[str, str] = {
 ORDER BY cnt DESC, coupon_id, store_id, store_range, user_num LIMIT 1""",
     ),
     "coupon_limit_count": _with(
-        *_MATCH, select="SELECT count(*) AS cnt FROM (SELECT * FROM pairs LIMIT 1000)"
+        *_MATCH, select="SELECT count(*) AS cnt FROM (SELECT * FROM pairs LIMIT 10000)"
     ),
     "coupon_groups": _with(
         *_MATCH, select="SELECT DISTINCT coupon_id, store_id, store_range, user_num FROM pairs"
@@ -262,7 +262,7 @@ FROM topics WHERE CAST(status_code AS INTEGER) < 5""",
     ),
     "json_types": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS from_map,
   user_id AS from_list, CAST(json_extract_string(props, '$.k') AS BIGINT) AS from_copy FROM events""",
-    "job_param": "SELECT c_custkey AS id, c_name || '-myvalue' AS name FROM customer",
+    "job_param": "SELECT c_custkey AS id, c_name || '-tide' AS name FROM customer",
     "sql_view": """SELECT c_custkey AS id, c_name AS name FROM customer
 WHERE c_mktsegment = 'BUILDING'""",
     "union_topics": _with(
@@ -476,6 +476,7 @@ ON n_regionkey = 1 AND (round > 0 OR n_nationkey < 10)""",
         select="""SELECT trade_id, count(*) AS records, true AS whole_bounds FROM delivered
 WHERE round < 2 GROUP BY trade_id""",
     ),
+    "stream_coupon_rounds": _COUPON,
     "stream_partitions": SQL["partition_all"],
     "partition_latest_by_time": _with(
         USERS, select=f"{_SUMMARY} WHERE partstart = '20220207' GROUP BY partstart"

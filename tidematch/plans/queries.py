@@ -29,7 +29,7 @@ from tidematch.sources import files, partitions, tables
 WINDOW_S = 6 * 3600
 GAP_S = 2 * 3600
 TTL_S = 4 * 3600
-LIMIT = 1000
+LIMIT = 10_000
 WINDOW = f"{WINDOW_S} seconds"
 COUNT_KEYS = ["coupon_id", "store_id", "store_range", "user_num"]
 
@@ -181,7 +181,7 @@ def _int_field(name: str) -> T.StructType:
 
 def job_param(spark: SparkSession, sf: str) -> DataFrame:
     names = shape.pick(table(spark, sf, "customer"), {"c_custkey": "id", "c_name": "name"})
-    return shape.append_parameter(names, "name", "myvalue")
+    return shape.append_parameter(names, "name", "tide")
 
 
 def sql_view(spark: SparkSession, sf: str) -> DataFrame:

@@ -168,6 +168,14 @@ def _request_stream(session: SparkSession, sf: str) -> DataFrame:
     return coupon.parse_requests(inputs.request_lines(suppliers))
 
 
+def stream_coupon(spark: SparkSession, sf: str) -> DataFrame:
+    """The coupon job on a stream, users from all partitions; a request is answered
+    once however often it is sent."""
+    path = inputs.partitioned_users(spark, sf)
+    requests = coupon.once_per_request(_request_stream(streaming_session(spark), sf))
+    return _coupon_stream(spark, requests, lambda s: partitions.read_table(s, path))
+
+
 def stream_temporal_join(spark: SparkSession, sf: str) -> DataFrame:
     """The coupon job on a stream, users of the partition that is the latest when
     the micro-batch runs, joined on type as well. Users are stored by place, so a
@@ -232,6 +240,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_union,
         stream_join_table,
         stream_lookup,
+        stream_coupon,
         stream_temporal_join,
         stream_routes,
         stream_top1,
