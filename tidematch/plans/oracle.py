@@ -482,3 +482,31 @@ WHERE round < 2 GROUP BY trade_id""",
         USERS, select=f"{_SUMMARY} WHERE partstart = '20220207' GROUP BY partstart"
     ),
 }
+
+SQL |= {
+    "text_lines": _with(
+        TOPICS,
+        select="""SELECT '{"msgId":' || coalesce('"' || msg_id || '"', 'null') || ',"tradeId":"' || trade_id
+  || '","statusCode":' || coalesce('"' || status_code || '"', 'null') || ',"createTime":"'
+  || strftime(make_timestamp(us), '%Y-%m-%d %H:%M:%S') || '"}' AS value FROM topics""",
+    ),
+    "processing_time": """SELECT o_orderkey, true AS same_text, true AS same_minute,
+  true AS one_minute, true AS same_period FROM orders""",
+    "named_columns": _with(
+        USERS, select='SELECT cert_nbr, lat AS "first", lng AS "second" FROM users'
+    ),
+    "observed_records": """SELECT event_type, count(*) AS cnt, (SELECT count(*) FROM events) AS observed
+FROM events GROUP BY event_type""",
+    "row_functions": """SELECT event_id, k, CAST(copy AS INTEGER) AS copy FROM (
+  SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events), range(2) r(copy)
+WHERE copy < k % 3""",
+    "serial_numbers": _with(
+        *_MATCH,
+        COUNTS,
+        RECORDS,
+        select="""SELECT message_type, count(*) AS cnt,
+  CASE message_type WHEN '02' THEN count(*) ELSE 0 END AS serials,
+  CASE message_type WHEN '02' THEN count(*) ELSE 0 END AS well_formed
+FROM records GROUP BY message_type""",
+    ),
+}

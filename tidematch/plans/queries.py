@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -445,6 +446,84 @@ def error_envelope(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Lines, clocks and code of one's own ----------------------------------------
+
+
+def text_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages written as lines of text and read back."""
+    path = work_dir(spark, "lines")
+    inputs.topic_lines(inputs.topics(spark, sf)).write.text(path)
+    return files.text_lines(spark, path)
+
+
+def processing_time(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch's time on every record; its text, minute and period agree with it,
+    whenever the query runs."""
+    session = spark.newSession()
+    sqludf.register(session)
+    timed = shape.with_processing_time(table(session, sf, "orders").select("o_orderkey"))
+    moment = F.col("proctime")
+    return timed.select(
+        "o_orderkey",
+        (timetext.now_text() == timetext.format_time(moment)).alias("same_text"),
+        (F.expr("curMinute('')") == F.date_format(moment, "mm")).alias("same_minute"),
+        (timetext.current_minute() == F.expr("curMinute('any')")).alias("one_minute"),
+        (F.expr("udfTimePeriod('')") == timetext.minute_parity(moment)).alias("same_period"),
+    )
+
+
+def named_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Functions without arguments that give a column's name; the name picks the value."""
+    session = spark.newSession()
+    sqludf.register(session, sqludf.SQL_NAME_FUNCTIONS)
+    users = inputs.users(session, sf)
+    by_name = F.map_from_arrays(
+        F.array(F.lit("lat"), F.lit("lng")), F.array("lat", "lng")
+    )
+    return users.select(
+        "cert_nbr",
+        F.element_at(by_name, F.expr("lat()")).cast("double").alias("first"),
+        F.element_at(by_name, F.expr("lng()")).cast("double").alias("second"),
+    )
+
+
+def observed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records passed through unchanged and counted on the way."""
+    count = Observation("records")
+    path = work_dir(spark, "observed")
+    shape.observed(table(spark, sf, "events"), count).write.parquet(path)
+    kinds = aggregate.count_by(spark.read.parquet(path), ["event_type"])
+    return kinds.withColumn("observed", F.lit(count.get["records"]).cast("long"))
+
+
+def row_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """Code of one's own over rows: parse, drop some, give others more than once."""
+
+    def run(frames):
+        import json
+
+        for frame in frames:
+            rows = []
+            for event_id, props in zip(frame["event_id"], frame["props"]):
+                k = json.loads(props)["k"]
+                rows += [(event_id, k, copy) for copy in range(k % 3)]
+            yield pd.DataFrame(rows, columns=["event_id", "k", "copy"])
+
+    events = table(spark, sf, "events").select("event_id", "props")
+    return shape.rowwise(events, run, "event_id long, k long, copy int")
+
+
+def serial_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Item records carry serials of their own, the others none."""
+    numbered = coupon.with_serial(coupon_match(spark, sf))
+    uuid = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return numbered.groupBy("message_type").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.countDistinct("serial_no").alias("serials"),
+        F.count(F.when(F.col("serial_no").rlike(uuid), 1)).alias("well_formed"),
+    )
+
+
 BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
@@ -495,5 +574,11 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         date_functions,
         key_text,
         error_envelope,
+        text_lines,
+        processing_time,
+        named_columns,
+        observed_records,
+        row_functions,
+        serial_numbers,
     )
 }
