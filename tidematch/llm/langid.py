@@ -31,6 +31,8 @@ FILTERS = 16
 DOCS_PER_LANG = 1000
 DOCS = 20_000
 PASSAGES = 2
+#: Languages whose chances of being taken are sent to the tasks; more are joined.
+BROADCAST_LANGS = 100_000
 UNDETERMINED = "und"
 
 #: Symbols: 0 the gap, 1 to 26 the letters a to z, then the bytes from 128 on.
@@ -214,7 +216,10 @@ def labelled_sample(docs: DataFrame, key: str, text: str, lang: str) -> DataFram
     each = min(DOCS_PER_LANG, max(1, DOCS // langs))
     chance = F.least(F.lit(1.0), F.lit(each) / F.col("n")) * min(1.0, DOCS / langs)
     draw = F.pmod(F.xxhash64("k"), F.lit(1_000_000)) / 1_000_000
-    met = labelled.filter(F.col("t").isNotNull()).join(counts.select("lang", chance.alias("chance")), "lang")
+    chances = counts.select("lang", chance.alias("chance"))
+    if langs <= BROADCAST_LANGS:
+        chances = F.broadcast(chances)
+    met = labelled.filter(F.col("t").isNotNull()).join(chances, "lang")
     some = met.filter(draw < F.col("chance"))
     room = F.greatest(F.length("t") - WINDOW, F.lit(1))
     starts = [F.pmod(F.xxhash64("k", F.lit(k)), room) + 1 for k in range(PASSAGES)]
