@@ -1,9 +1,13 @@
 """What queries make on the way: rows, copies and state, on rows of their own."""
 
+import random
 from collections import Counter
 
-from tidematch.operators import joins
-from tidematch.plans import queries
+import pytest
+
+from tests.test_coupon import random_points
+from tidematch.operators import geojoin, joins
+from tidematch.plans import coupon, queries
 
 
 def test_skew_join_makes_no_row_for_every_customer(spark, tmp_path, monkeypatch):
@@ -28,3 +32,57 @@ def test_skew_join_makes_no_row_for_every_customer(spark, tmp_path, monkeypatch)
     )
     assert {(r["s_suppkey"], r["c_mktsegment"]): r["cnt"] for r in got} == wanted
     assert len(got) == len(wanted) and made[0].count() <= len(suppliers) * 3
+
+
+def points(spark, seed, users, stores):
+    rng = random.Random(seed)
+    ranges = [1, 30, 120.5, 2000, 50_000, 300_000, 2_000_000, 9_000_000, 30_000_000, "far"]
+    people = [
+        (str(rng.choice([1, 2])), str(k), str(lat), str(lng))
+        for k, (lat, lng) in enumerate(random_points(rng, users))
+    ]
+    people += [("1", "n", None, "1"), (None, "o", "10.0", "20.0"), ("", "p", "10.0", "20.0")]
+    asked = [
+        (f"C{k}", str(rng.choice(ranges)), str(lng), str(lat), "5", rng.choice(["1", "2", None]), "S", f"R{k}")
+        for k, (lat, lng) in enumerate(random_points(rng, stores))
+    ]
+    asked += [asked[0], (None, "9000000", "20", "10", None, "1", None, None)]
+    names = "coupon_id store_range store_longitude store_latitude user_num type store_id unique_req_id"
+    return (
+        spark.createDataFrame(asked, ", ".join(f"{n} string" for n in names.split())),
+        spark.createDataFrame(people, "cert_type string, cert_nbr string, lat string, lng string"),
+    )
+
+
+@pytest.mark.parametrize("equal", [None, {"type": "cert_type"}])
+def test_counts_by_cells_equal_the_pairs(spark, equal):
+    requests, users = points(spark, 11, 200, 30)
+    pairs = Counter(
+        r["unique_req_id"] for r in geojoin.match_requests(requests, users, equal, True).collect()
+    )
+    for depth in (0, 4):
+        got = geojoin.count_matches(requests, users, "unique_req_id", equal, False, depth).collect()
+        assert {r["unique_req_id"]: r["n"] for r in got} == pairs
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_matches_are_framed_without_being_stored_or_moved(spark, small, monkeypatch):
+    requests, users = points(spark, 12, 60, 20)
+    stored, original = [], coupon.cut_lineage
+
+    def noted(df):
+        stored.append(df.columns)
+        return original(df)
+
+    monkeypatch.setattr(coupon, "cut_lineage", noted)
+    got = coupon.coupon_match(requests, users, small_requests=small)
+    assert all("id_number" not in columns for columns in stored)
+    kept = coupon.coupon_match(requests, users, small_requests=small, keep_matches=True)
+    assert Counter(got.collect()) == Counter(kept.collect()) and got.schema == kept.schema
+    items = got.where("message_type = '02'")
+    if small:
+        plan = items._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "RoundRobin" not in plan
+    counted = coupon.match_counts(requests, users, small_requests=small)
+    listed = coupon.matched_users(requests, users, small_requests=small)
+    assert sum(r["n"] for r in counted.collect()) == listed.count()
