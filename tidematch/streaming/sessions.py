@@ -1,10 +1,10 @@
 """Two streams joined by key inside sessions that grow and merge as records come.
 
-A key's records lie in list state until their session can change no more. What is
-open is kept beside them as a few spans of time: a record opens a span, widens one,
-or bridges several, also when it comes in a later micro-batch than its neighbours.
-A timer in event time stands at the end of every span; once the watermark is past
-it no record can reach the session, its pairs are given out and its records freed.
+Records lie in list state, by bucket of their keys, until their session can change no
+more. A record opens a session, widens one, or bridges several, also when it comes in
+a later micro-batch than its neighbours. A timer in event time stands where the first
+session of a bucket may end; once the watermark is past a session's end no record can
+reach it, its pairs are given out and its records freed.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidematch.functions.timetext import epoch_micros
 from tidematch.operators.windows import KEY
-from tidematch.session import ship_package
+from tidematch.streaming import buckets
 
 #: Pairs in one piece of output.
 PAIRS_AT_ONCE = 100_000
@@ -47,74 +47,113 @@ def spans_of(at: np.ndarray, gap_us: int) -> list[Span]:
 
 
 class SessionPairs(StatefulProcessor):
-    """Every message with every status of the same key and session."""
+    """Every message with every status of the same key and session. A bucket has one
+    timer, never later than its first session's end, and closes all that are over."""
 
     OUTPUT = (
         "trade_id string, start_us bigint, last_us bigint, msg_id string, "
         "message_us bigint, status_code string, status_us bigint"
     )
-    RECORD = "at_us bigint, is_message boolean, text string"
+    #: Many records as columns; the list has one such row for each micro-batch.
+    RECORDS = (
+        "trade_id array<string>, at_us array<bigint>, is_message array<boolean>, text array<string>"
+    )
+    COLUMNS = ["trade_id", "at_us", "is_message", "text"]
 
     def __init__(self, gap_us: int) -> None:
         self.gap_us = gap_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.records = handle.getListState("records", self.RECORD)
-        self.spans = handle.getListState("spans", "first_us bigint, last_us bigint")
+        self.records = handle.getListState("records", self.RECORDS)
+        self.timer = handle.getValueState("timer", "end_ms bigint")
 
     def _end_ms(self, last_us: int) -> int:
         """The first watermark at which no record reaches the session any more; one
         that comes exactly a gap after the last still does."""
         return (last_us + self.gap_us) // 1000 + 1
 
-    def _held(self) -> list[Span]:
-        return [tuple(s) for s in self.spans.get()]
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        before = self._held()
-        spans = list(before)
+        ends = []
         for frame in rows:
-            at = frame["at_us"].to_numpy()
-            spans = merged(spans + spans_of(at, self.gap_us), self.gap_us)
-            self.records.appendList(
-                list(zip(at.tolist(), frame["is_message"].tolist(), frame["text"].tolist()))
-            )
-        old = {self._end_ms(last) for _, last in before}
-        new = {self._end_ms(last) for _, last in spans}
-        for end in old - new:
-            self.handle.deleteTimer(end)
-        for end in new - old:
-            self.handle.registerTimer(end)
-        if spans != before:
-            self.spans.put(spans)
+            self.records.appendValue(self._columns(frame))
+            ends.append(self._end_ms(int(frame["at_us"].min())))
+        set_for = self.timer.get()
+        if set_for is None or min(ends) < set_for[0]:
+            if set_for is not None:
+                self.handle.deleteTimer(set_for[0])
+            self._set_timer(min(ends))
         yield from ()
 
+    def _columns(self, frame: pd.DataFrame) -> tuple:
+        texts = frame["text"].astype(object)
+        plain = frame.assign(text=texts.where(texts.notna(), None))
+        return tuple(plain[c].tolist() for c in self.COLUMNS)
+
+    def _set_timer(self, end_ms: int) -> None:
+        self.handle.registerTimer(end_ms)
+        self.timer.update((end_ms,))
+
+    def _held(self) -> pd.DataFrame:
+        """The records by key and time, with their session's number and bounds."""
+        parts = [pd.DataFrame(dict(zip(self.COLUMNS, part))) for part in self.records.get()]
+        frame = pd.concat(parts, ignore_index=True)
+        frame = frame.sort_values(["trade_id", "at_us"], ignore_index=True)
+        name, at = frame["trade_id"].to_numpy(), frame["at_us"].to_numpy(dtype="int64")
+        opens = np.r_[True, (name[1:] != name[:-1]) | (np.diff(at) > self.gap_us)]
+        number = np.cumsum(opens) - 1
+        first = np.flatnonzero(opens)
+        last = np.r_[first[1:], len(at)] - 1
+        return frame.assign(number=number, first=at[first][number], last=at[last][number])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = expiredTimerInfo.getExpiryTimeInMs()
-        spans = self._held()
-        over = [s for s in spans if self._end_ms(s[1]) <= passed]
-        if not over:
-            return
-        left, closed = [], [([], []) for _ in over]
-        for record in self.records.get():
-            at, is_message, text = record
-            for (first, last), sides in zip(over, closed):
-                if first <= at <= last:
-                    sides[0 if is_message else 1].append((at, text))
-                    break
+        held = self._held()
+        end_ms = self._end_ms(held["last"])
+        over = end_ms <= timerValues.getCurrentWatermarkInMs()
+        left = held[~over]
+        if over.any():
+            if len(left):
+                self.records.put([self._columns(left)])
             else:
-                left.append((at, is_message, text))
-        rest = [s for s in spans if s not in over]
-        if rest:
-            self.spans.put(rest)
-            self.records.put(left)
+                self.records.clear()
+        if len(left):
+            self._set_timer(int(end_ms[~over].min()))
         else:
-            self.spans.clear()
-            self.records.clear()
-        for (first, last), (messages, statuses) in zip(over, closed):
-            if messages and statuses:
-                yield from self._pairs(key[0], first, last, messages, statuses)
+            self.timer.clear()
+        yield from self._closed(held[over])
+
+    def _closed(self, records: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The pairs of closed sessions, of many small sessions together."""
+        is_message = records["is_message"].astype(bool)
+        messages, statuses = records[is_message], records[~is_message]
+        sizes = (
+            messages.groupby("number").size().rename("m").to_frame()
+            .join(statuses.groupby("number").size().rename("s"), how="inner")
+        )
+        pairs = sizes["m"] * sizes["s"]
+        for number in pairs.index[pairs > PAIRS_AT_ONCE]:
+            some, others = messages[messages["number"] == number], statuses[statuses["number"] == number]
+            yield from self._pairs(
+                some["trade_id"].iloc[0], int(some["first"].iloc[0]), int(some["last"].iloc[0]),
+                list(zip(some["at_us"], some["text"])), list(zip(others["at_us"], others["text"])),
+            )
+        small = pairs[pairs <= PAIRS_AT_ONCE]
+        piece = (small.cumsum() // PAIRS_AT_ONCE).rename("piece")
+        for _, numbers in piece.groupby(piece):
+            met = messages[messages["number"].isin(numbers.index)].merge(
+                statuses[["number", "at_us", "text"]], on="number", suffixes=("", "_s")
+            )
+            yield pd.DataFrame(
+                {
+                    "trade_id": met["trade_id"],
+                    "start_us": met["first"],
+                    "last_us": met["last"],
+                    "msg_id": met["text"],
+                    "message_us": met["at_us"],
+                    "status_code": met["text_s"],
+                    "status_us": met["at_us_s"],
+                }
+            )
 
     @staticmethod
     def _pairs(key, first, last, messages, statuses) -> Iterator[pd.DataFrame]:
@@ -152,10 +191,8 @@ def session_pairs(
     both inputs. Pairs are given out when the watermark closes their session; both
     inputs need one on ``time``. Records without a key or a time are left out.
 
-    A key's open sessions and their records are held by the task that has the key.
+    A bucket's open sessions and their records are held by the task that has the bucket.
     """
-    ship_package(messages.sparkSession)  # the processor is pickled by name
-
     def side(df: DataFrame, text: str, is_message: bool) -> DataFrame:
         return df.dropna(subset=[key, time]).select(
             F.col(key).alias("trade_id"),
@@ -166,13 +203,7 @@ def session_pairs(
         )
 
     both = side(messages, "msg_id", True).unionByName(side(statuses, "status_code", False))
-    processor = SessionPairs(gap_s * 1_000_000)
-    found = both.groupBy("trade_id").transformWithStateInPandas(
-        statefulProcessor=processor,
-        outputStructType=processor.OUTPUT,
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+    found = buckets.run(both, "trade_id", SessionPairs(gap_s * 1_000_000), "EventTime")
     moment = lambda c: F.timestamp_micros(F.col(c))
     return found.select(
         F.col("trade_id").alias(key),
