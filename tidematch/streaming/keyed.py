@@ -1,8 +1,8 @@
 """Keyed state that windows and joins cannot express.
 
-A key's rows of one micro-batch are put in order and handled as columns; the
-source's limit of bytes per trigger bounds what a task holds of a key. State is
-read and written once per key and micro-batch, or once per new entry.
+The rows of one micro-batch, of a key or of a bucket of keys, are put in order and
+handled as columns; the source's limit of bytes per trigger bounds what a task holds
+of them. State is read and written once per key and micro-batch, or once per new entry.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from tidematch.functions.timetext import epoch_micros
 from tidematch.operators.windows import KEY
 from tidematch.session import ship_package
+from tidematch.streaming import buckets
 
 
 def _text(value) -> str:
@@ -57,7 +58,7 @@ def _last_message(frame: pd.DataFrame, held: tuple | None) -> pd.DataFrame:
 
 
 class MessageMemory(StatefulProcessor):
-    """Remembers a key's message id for ``ttl_ms`` after it was last written and
+    """Remembers each key's message id for ``ttl_ms`` after it was last written and
     pairs later statuses with it. ``ttl_ms`` counts processing time."""
 
     OUTPUT = "trade_id string, msg_id string, status_code string"
@@ -67,23 +68,30 @@ class MessageMemory(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.memory = handle.getMapState(
-            "messages", "name string", "msg_id string", ttlDurationMs=self.ttl_ms
+            "messages", "trade_id string", "msg_id string", ttlDurationMs=self.ttl_ms
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        frame = _in_order(rows, ["at_us", "seq"])
-        live = self.memory.containsKey(("msgId",))
-        before = self.memory.getValue(("msgId",))[0] if live else None
-        seen = _last_message(frame, None)
-        held = seen["held_id"].where(seen["known"], before)
-        if seen["known"].any():
-            self.memory.updateValue(("msgId",), (held.iloc[-1],))
-        paired = ~seen["is_message"] & held.notna()
+        frame, names, starts = buckets.in_order(rows, "trade_id", ["at_us", "seq"])
+        code, ids = frame["code"].to_numpy(), frame["msg_id"].to_numpy(dtype=object)
+        is_message = (frame["msg_id"].map(_text) != "").to_numpy()
+        # The place of the last message so far, before the key's first row if there is none.
+        place = np.maximum.accumulate(np.where(is_message, np.arange(len(frame)), -1))
+        known = place >= starts[code]
+        before = np.full(len(names), None, dtype=object)
+        for asked in np.unique(code[~known & ~is_message]):
+            live = self.memory.getValue((names[asked],))
+            before[asked] = live[0] if live is not None else None
+        held = np.where(known, ids[place], before[code])
+        for last in np.r_[starts[1:], len(frame)] - 1:
+            if known[last]:
+                self.memory.updateValue((names[code[last]],), (held[last],))
+        paired = ~is_message & pd.notna(held)
         yield pd.DataFrame(
             {
-                "trade_id": key[0],
+                "trade_id": frame["trade_id"][paired],
                 "msg_id": held[paired],
-                "status_code": seen["status_code"][paired],
+                "status_code": frame["status_code"][paired],
             }
         )
 
@@ -243,37 +251,44 @@ class ProcessingWindows(StatefulProcessor):
 
 
 class SumChanges(StatefulProcessor):
-    """A key's sum and the retract and add rows of each change to it. A null
+    """Each key's sum and the retract and add rows of every change to it. A null
     score leaves the sum as it is; before the first other score it is null."""
 
     OUTPUT = "is_add boolean, name string, total bigint, seq bigint"
 
     def init(self, handle) -> None:
-        self.total = handle.getValueState("total", "total bigint, known boolean")
+        self.totals = handle.getMapState("totals", "name string", "total bigint, known boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        held, known = self.total.get() if self.total.exists() else (None, False)
-        started = self.total.exists()
-        frame = _in_order(rows, ["seq"])
-        sums = (held or 0) + frame["score"].cumsum().to_numpy()
-        filled = known | np.logical_or.accumulate(frame["has_score"].to_numpy())
+        frame, names, starts = buckets.in_order(rows, "name", ["seq"])
+        held = [self.totals.getValue((name,)) for name in names]
+        code = frame["code"].to_numpy()
+        started = np.array([h is not None for h in held])[code]
+        held_sum = np.array([h[0] if h else 0 for h in held], dtype="int64")[code]
+        held_known = np.array([bool(h and h[1]) for h in held])[code]
+        by_key = frame.assign(scores=frame["has_score"].astype("int64")).groupby("code")
+        sums = held_sum + by_key["score"].cumsum().to_numpy()
+        filled = held_known | (by_key["scores"].cumsum().to_numpy() > 0)
         before, before_filled = np.roll(sums, 1), np.roll(filled, 1)
-        before[0], before_filled[0] = held or 0, known
+        before[starts], before_filled[starts] = held_sum[starts], held_known[starts]
         change = (sums != before) | (filled != before_filled)
-        add = change.copy()
-        add[0] |= not started
-        retract = change.copy()
-        retract[0] &= started
-        seq = frame["seq"].to_numpy()
+        add, retract = change.copy(), change.copy()
+        add[starts] |= ~started[starts]
+        retract[starts] &= started[starts]
+        seq, name = frame["seq"].to_numpy(), frame["name"].to_numpy(dtype=object)
 
         def rows_of(which, totals, is_null, is_add):
             values = pd.array(totals[which], dtype="Int64")
             values[is_null[which]] = pd.NA
             return pd.DataFrame(
-                {"is_add": is_add, "name": key[0], "total": values, "seq": seq[which]}
+                {"is_add": is_add, "name": name[which], "total": values, "seq": seq[which]}
             )
 
-        self.total.update((int(sums[-1]), bool(filled[-1])))
+        for last in np.r_[starts[1:], len(frame)] - 1:
+            after = (int(sums[last]), bool(filled[last]))
+            before_row = held[code[last]]
+            if before_row is None or tuple(before_row) != after:
+                self.totals.updateValue((names[code[last]],), after)
         yield pd.concat(
             [rows_of(retract, before, ~before_filled, False), rows_of(add, sums, ~filled, True)],
             ignore_index=True,
@@ -306,7 +321,9 @@ def _topic_rows(records: DataFrame, key: str, *more: str) -> DataFrame:
 
 def correlate_by_state(records: DataFrame, ttl_ms: int, key: str = KEY) -> DataFrame:
     """State with a time to live in processing time."""
-    return _run(_topic_rows(records, key), "trade_id", MessageMemory(ttl_ms), "ProcessingTime")
+    return buckets.run(
+        _topic_rows(records, key), "trade_id", MessageMemory(ttl_ms), "ProcessingTime"
+    )
 
 
 def correlate_by_event_state(records: DataFrame, ttl_ms: int, key: str = KEY) -> DataFrame:
@@ -354,4 +371,4 @@ def sum_changes(records: DataFrame) -> DataFrame:
         score.isNotNull().alias("has_score"),
         "seq",
     )
-    return _run(rows, "name", SumChanges(), "None")
+    return buckets.run(rows, "name", SumChanges())
