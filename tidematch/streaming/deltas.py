@@ -6,6 +6,7 @@ one. State holds counts, never the rows that were counted.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tidematch.session import ship_package
+from tidematch.streaming import buckets
 
 #: Parts of the first level of a top list; a fixed number, so the second level
 #: holds at most so many times ``n`` rows.
@@ -26,44 +28,42 @@ def _changes(rows: list[tuple], names: Sequence[str]) -> Iterator[pd.DataFrame]:
 
 
 class JoinCounts(StatefulProcessor):
-    """Pairs of one join key, counted by a group of the left side.
+    """Pairs of each join key, counted by a group of the left side.
 
     A right row adds one to the count of every left row's group, a left row as many
-    as there are right rows; so the state is one count for the right side and one
+    as there are right rows; so a key's state is one count for the right side and one
     for each left group, and a micro-batch changes each group's result once.
     """
 
     OUTPUT = "is_add boolean, grp string, total bigint"
 
     def init(self, handle) -> None:
-        self.lefts = handle.getMapState("lefts", "grp string", "n bigint")
-        self.rights = handle.getValueState("rights", "n bigint")
+        self.counts = handle.getMapState(
+            "counts", "key string", "rights bigint, groups array<string>, lefts array<bigint>"
+        )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        had = self.rights.get()[0] if self.rights.exists() else 0
-        have, added = had, {}
+        rights, lefts = Counter(), defaultdict(Counter)
         for frame in rows:
             is_left = frame["is_left"].to_numpy(dtype=bool)
-            have += int((~is_left).sum())
-            for group, n in frame["grp"][is_left].value_counts().items():
-                added[group] = added.get(group, 0) + int(n)
-        if have != had:
-            self.rights.update((have,))
-            touched = {g[0]: n[0] for g, n in self.lefts.iterator()}
-        else:
-            touched = {
-                g: self.lefts.getValue((g,))[0] if self.lefts.containsKey((g,)) else 0 for g in added
-            }
+            for name, n in frame["key"][~is_left].value_counts().items():
+                rights[name] += int(n)
+            for (name, group), n in frame[is_left].groupby(["key", "grp"]).size().items():
+                lefts[name][group] += int(n)
         out = []
-        for group in touched.keys() | added.keys():
-            before = touched.get(group, 0)
-            after = before + added.get(group, 0)
-            if after != before:
-                self.lefts.updateValue((group,), (after,))
-            if before * had != after * have:
-                if before * had:
-                    out.append((False, group, before * had))
-                out.append((True, group, after * have))
+        for name in rights.keys() | lefts.keys():
+            held = self.counts.getValue((name,))
+            had, counts = (held[0], dict(zip(held[1], held[2]))) if held else (0, {})
+            have, added = had + rights[name], lefts.get(name, {})
+            for group in counts.keys() | added.keys() if have != had else added.keys():
+                before = counts.get(group, 0)
+                after = before + added.get(group, 0)
+                if before * had != after * have:
+                    if before * had:
+                        out.append((False, group, before * had))
+                    out.append((True, group, after * have))
+                counts[group] = after
+            self.counts.updateValue((name,), (have, list(counts.keys()), list(counts.values())))
         yield from _changes(out, ["is_add", "grp", "total"])
 
     def close(self) -> None:
@@ -88,7 +88,7 @@ def join_count_changes(
         F.lit(False).alias("is_left"),
         F.lit(None).cast("string").alias("grp"),
     )
-    found = _run(lefts.unionByName(rights), "key", JoinCounts())
+    found = buckets.run(lefts.unionByName(rights), "key", JoinCounts())
     kinds = ", ".join(f"`{c}` {dict(left.dtypes)[c]}" for c in by)
     return found.select("is_add", F.from_json("grp", kinds).alias("g"), "total").select(
         "is_add", "g.*", "total"
@@ -96,24 +96,25 @@ def join_count_changes(
 
 
 class CountUpdates(StatefulProcessor):
-    """A key's number of rows so far, once for each micro-batch that has some."""
+    """Each key's number of rows so far, once for each micro-batch that has some."""
 
-    OUTPUT = "name string, total bigint, part int"
-
-    def __init__(self, parts: int) -> None:
-        self.parts = parts
+    OUTPUT = "name string, total bigint"
 
     def init(self, handle) -> None:
-        self.total = handle.getValueState("total", "n bigint")
+        self.totals = handle.getMapState("totals", "name string", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        total = self.total.get()[0] if self.total.exists() else 0
-        part = 0
+        added = Counter()
         for frame in rows:
-            total += len(frame)
-            part = int(frame["part"].iloc[0])
-        self.total.update((total,))
-        yield pd.DataFrame({"name": [key[0]], "total": [total], "part": [part]})
+            for name, n in frame["name"].value_counts().items():
+                added[name] += int(n)
+        out = []
+        for name, n in added.items():
+            held = self.totals.getValue((name,))
+            total = n + (held[0] if held else 0)
+            self.totals.updateValue((name,), (total,))
+            out.append((name, total))
+        yield from _changes(out, ["name", "total"])
 
     def close(self) -> None:
         pass
@@ -175,7 +176,7 @@ def top_changes(rows: DataFrame, name: Column, n: int = 1, parts: int = PARTS) -
     """
     given = rows.select(name.cast("string").alias("name")).where("name IS NOT NULL")
     part = F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")
-    counts = _run(given.withColumn("part", part), "name", CountUpdates(parts))
+    counts = buckets.run(given, "name", CountUpdates()).withColumn("part", part)
     first = TopRows(n, final=False)
     first.OUTPUT = TopRows.TOLD
     best = _run(counts, "part", first)
