@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_coupon import random_points
 from tidematch.operators import geojoin, joins
@@ -65,6 +66,43 @@ def test_counts_equal_the_pairs(spark, equal):
         assert {r["unique_req_id"]: r["n"] for r in got} == pairs
 
 
+@pytest.mark.parametrize("equal", [None, {"type": "cert_type"}])
+def test_crowded_cells_are_counted_in_blocks(spark, equal, monkeypatch):
+    """The larger cells in blocks of a few rows, beside others."""
+    requests, users = points(spark, 13, 160, 30)
+    odd = [("1", "i", "Infinity", "3"), ("1", "j", "-Infinity", "NaN")]
+    users = users.union(spark.createDataFrame(odd, users.schema))
+    requests = requests.union(requests.limit(3).withColumn("store_latitude", F.lit("Infinity")))
+    pairs = Counter(
+        r["unique_req_id"] for r in geojoin.match_requests(requests, users, equal, True).collect()
+    )
+    monkeypatch.setattr(geojoin, "LIST_PAIRS", 100)
+    monkeypatch.setattr(geojoin, "LIST_ALL", 0)
+    monkeypatch.setattr(geojoin, "BLOCK_REQUESTS", 7)
+    monkeypatch.setattr(geojoin, "BLOCK_USERS", 40)
+    got = geojoin.count_matches(requests, users, "unique_req_id", equal).collect()
+    assert {r["unique_req_id"]: r["n"] for r in got} == pairs
+
+
+def test_coupon_counts_list_no_match(spark, tmp_path, monkeypatch):
+    """coupon_top1, coupon_groups and the counts give the rows of the listed matches without
+    listing them."""
+    spark.range(1, 151).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1, 13).withColumnRenamed("id", "s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    sf, keys = str(tmp_path), queries.COUNT_KEYS
+    listed = Counter(tuple(r[k] for k in keys) for r in queries._matches(spark, sf).collect())
+    monkeypatch.setattr(geojoin, "LIST_PAIRS", 0)
+    monkeypatch.setattr(geojoin, "LIST_ALL", 0)
+    monkeypatch.setattr(geojoin, "match_requests", None)
+    monkeypatch.setattr(queries, "_matched", lambda *a, made=queries._matched(spark, sf): made)
+    by_key = queries.coupon_count_by_key(spark, sf).collect()
+    assert {tuple(r[k] for k in keys): r["cnt"] for r in by_key} == listed
+    assert {tuple(r) for r in queries.coupon_groups(spark, sf).collect()} == set(listed)
+    assert queries.coupon_count(spark, sf).first()["cnt"] == sum(listed.values())
+    best = min(listed, key=lambda k: (-listed[k], k))
+    assert tuple(queries.coupon_top1(spark, sf).first()) == (*best[:3], listed[best])
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_matches_are_framed_without_being_stored_or_moved(spark, small, monkeypatch):
     requests, users = points(spark, 12, 60, 20)
